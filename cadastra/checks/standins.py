@@ -36,7 +36,7 @@ def _typed(df: DataFrame, staging: str, columns: dict[str, str], also: dict[str,
     """Columns of a staging table from SQL expressions, in the declared types."""
     kinds = {out: kind for _, out, kind in STAGING[staging].columns}
     return df.select(
-        *[F.expr(e).cast(kinds.get(out, also.get(out))).alias(out) for out, e in columns.items()]
+        *[F.expr(e).try_cast(kinds.get(out, also.get(out))).alias(out) for out, e in columns.items()]
     )
 
 
