@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -73,32 +73,31 @@ def cut_points(
     sampled = df.select(sort_key(columns).alias(_KEY)).sample(fraction, 17)
     every = max(1, int(rows * fraction) // (wanted + 1))
     keys = sampled.agg(F.sort_array(F.collect_list(_KEY)).alias("keys"))
-    cuts = keys.select(
-        F.array_distinct(
-            F.filter("keys", lambda _, at: (at + 1) % every == 0)
+    picked = keys.select(F.filter("keys", lambda _, at: (at + 1) % every == 0).alias("picked"))
+    cuts = picked.select(
+        F.filter(
+            "picked", lambda key, at: (at == 0) | (key != F.get("picked", at - 1))
         ).alias(_CUTS)
     )
-    chosen = cuts.first()[0]
-    table = df.sparkSession.createDataFrame([(chosen,)], cuts.schema)
-    return Cuts(table, len(chosen), columns)
+    table = stage(cuts, "cuts")
+    return Cuts(table, table.select(F.size(_CUTS)).first()[0], columns)
 
 
 def place_rows(df: DataFrame, cuts: Cuts) -> DataFrame:
     """Add the number of cuts below each row and whether the row equals the next cut.
 
-    The number is found by bisection over the cut array, one step per bit.
+    The number is found by bisection over the cut array. Every step is a projection of its own, so
+    that the comparisons are compiled code.
     """
-    steps = [F.lit(2**bit) for bit in reversed(range(cuts.count.bit_length()))] or [F.lit(1)]
-    keyed = df.withColumn(_CUTS, cuts.table.scalar()).withColumn(_KEY, sort_key(cuts.columns))
-
-    def advance(at: Column, step: Column) -> Column:
-        return F.when(F.get(_CUTS, at + step - 1) < F.col(_KEY), at + step).otherwise(at)
-
-    return (
-        keyed.withColumn(PLACE, F.aggregate(F.array(*steps), F.lit(0), advance))
-        .withColumn(AT_CUT, F.coalesce(F.get(_CUTS, F.col(PLACE)) == F.col(_KEY), F.lit(False)))
-        .drop(_CUTS, _KEY)
-    )
+    placed = df.withColumn(_CUTS, cuts.table.scalar()).withColumn(_KEY, sort_key(cuts.columns))
+    placed = placed.withColumn(PLACE, F.lit(0))
+    for bit in reversed(range(cuts.count.bit_length())):
+        ahead = F.get(_CUTS, F.col(PLACE) + (2**bit - 1)) < F.col(_KEY)
+        placed = placed.withColumn(
+            PLACE, F.when(ahead, F.col(PLACE) + 2**bit).otherwise(F.col(PLACE))
+        )
+    at_cut = F.coalesce(F.get(_CUTS, F.col(PLACE)) == F.col(_KEY), F.lit(False))
+    return placed.withColumn(AT_CUT, at_cut).drop(_CUTS, _KEY)
 
 
 def _level_flags(placed: DataFrame, cuts: Cuts, level: int) -> DataFrame:
@@ -125,18 +124,11 @@ def _level_flags(placed: DataFrame, cuts: Cuts, level: int) -> DataFrame:
     ).drop(_CUTS)
 
 
-def _level_starts(spark: SparkSession, cuts: Cuts, level: int) -> DataFrame:
+def _level_starts(cuts: Cuts, level: int) -> DataFrame:
     """For each cut, the first cut with the same group and value: columns ``_cut``, ``_level``."""
-    rows = cuts.table.first()[0]
-    starts, previous = [], None
-    for at, cut in enumerate(rows):
-        head = tuple(cut)[: 2 * level]
-        starts.append((at, at if head != previous else starts[-1][1]))
-        previous = head
-    schema = T.StructType(
-        [T.StructField("_cut", T.IntegerType()), T.StructField("_level", T.IntegerType())]
-    )
-    return spark.createDataFrame(starts, schema)
+    listed = cuts.table.select(F.posexplode(_CUTS).alias("_cut", "_key"))
+    head = [F.col(f"_key.k{number}") for number in range(level)]
+    return listed.select("_cut", F.min("_cut").over(Window.partitionBy(*head)).alias("_level"))
 
 
 def _place_table(flagged: DataFrame, by: list[str], value: str, cuts: Cuts) -> DataFrame:
@@ -158,7 +150,7 @@ def _place_table(flagged: DataFrame, by: list[str], value: str, cuts: Cuts) -> D
     )
     # Rank of a cut's value: one more than the rows of the group below that value. Those are the
     # rows before the first cut of the value, less the ones just below it that share the value.
-    starts = _level_starts(flagged.sparkSession, cuts, len(by) + 1)
+    starts = _level_starts(cuts, len(by) + 1)
     at_first = running.groupBy(*by, F.col(PLACE).alias("_level")).agg(
         F.max(F.when(F.col(AT_CUT), F.col("_rows_before"))).alias("_upto"),
         F.sum(F.when(~F.col(AT_CUT), F.col("_level_rows")).otherwise(0)).alias("_shared"),

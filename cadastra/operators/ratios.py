@@ -24,18 +24,21 @@ def sales_ratio(value: Column, price: Column) -> Column:
 def grouped_median(
     df: DataFrame, by: list[str], value: str, out: str, strategy: str = "auto",
     plain_rows: int = MEDIAN_ROWS, rows_per_place: int = ROWS_PER_PLACE, max_cuts: int = MAX_CUTS,
+    staged: bool = False,
 ) -> DataFrame:
     """Exact interpolated median of the non-NULL values per group.
 
     Large groups: count the rows between cut points, and sort only the places holding a middle row.
+    ``staged=True`` says that ``df`` is already a cheap scan of written files.
     """
     rows = df.filter(F.col(value).isNotNull()).select(*by, value)
     if choose_strategy(rows, by, strategy, plain_rows) == "plain":
         return rows.groupBy(*by).agg(F.median(value).alias(out))
 
-    source = stage(rows, "values")
+    source = rows if staged else stage(rows, "values")
     cuts = cut_points(source, [*by, value], source.count(), rows_per_place, max_cuts)
-    placed = place_rows(source, cuts)
+    # Written, so that the filters below are on columns and not on the steps that placed the rows.
+    placed = stage(place_rows(source, cuts), "placed")
     counts = stage(
         placed.groupBy(*by, PLACE, AT_CUT).agg(
             F.count(F.lit(1)).alias("_rows"), F.min(value).alias("_least")
@@ -110,6 +113,7 @@ def ratio_study(df: DataFrame, by: list[str], assessed: str, price: str, **media
     The distances need the medians, so the ratios are read twice; they are written once, narrow.
     """
     ratios = stage(ratio_table(df, by, assessed, price), "ratios")
+    median = {"staged": True, **median}
     medians = stage(grouped_median(ratios, by, "_ratio", "median_ratio", **median), "medians")
     distance = F.abs(F.col("_ratio") - F.col("median_ratio"))
     study = attach(ratios, medians, by).groupBy(*by).agg(
