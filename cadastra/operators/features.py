@@ -15,15 +15,14 @@ def feature_table(
 ) -> DataFrame:
     """One row per key and attributes, with the area summed over the key's buildings.
 
-    Areas are summed before the join, which then repeats no row; grouping by the joined key needs no
-    further shuffle. ``fill`` replaces missing attributes.
+    Repeated parcels are counted and areas are summed before the join, so however often a key
+    occurs on either side, little of it is shuffled. ``fill`` replaces missing attributes.
     """
     areas = buildings.groupBy(key).agg(F.sum(area).alias("_area"))
     described = parcels.select(key, *[value.alias(name) for name, value in attributes.items()])
-    grouped = described.join(areas, key, "left").groupBy(key, *attributes).agg(
-        F.coalesce(F.sum("_area"), F.lit(0)).alias(out)
-    )
-    return grouped.fillna(fill)
+    counted = described.groupBy(key, *attributes).agg(F.count(F.lit(1)).alias("_copies"))
+    total = F.coalesce(F.col("_area") * F.col("_copies"), F.lit(0)).alias(out)
+    return counted.join(areas, key, "left").select(key, *attributes, total).fillna(fill)
 
 
 def _category(name: str) -> Column:
