@@ -23,8 +23,8 @@ from cadastra.shared import stage
 
 # A group up to this size is sorted by one task; beyond it the rows are placed between cuts.
 PLAIN_ROWS = 1_000_000
-ROWS_PER_PLACE = 500_000
-MAX_CUTS = 20_000
+ROWS_PER_PLACE = 200_000
+MAX_CUTS = 32_768
 SAMPLE_PER_CUT = 20
 
 PLACE, AT_CUT = "_place", "_at_cut"
