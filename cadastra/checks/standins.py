@@ -9,7 +9,7 @@ from __future__ import annotations
 import os
 import struct
 import uuid
-from functools import reduce
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
@@ -212,17 +212,26 @@ def write_raw_files(spark: SparkSession, sf_dir: str, raw: str) -> None:
         "stg_sales": _any_row(STAGING["stg_sales"], lines, "l_orderkey", "l_quantity", "l_returnflag"),
         "stg_site": _any_row(STAGING["stg_site"], lines, "l_orderkey", "l_linenumber", "l_linestatus"),
     }
-    for name, df in made.items():
-        spec = STAGING[name]
-        write_raw(df, spec, f"{raw}/{spec.file.replace('*', 'roll')}", "," if name == "stg_nal" else "|")
     parts = table(spark, sf_dir, "part")
-    for spec in LOOKUPS.values():
+
+    def write_staging(name: str) -> None:
+        spec = STAGING[name]
+        write_raw(
+            made[name], spec, f"{raw}/{spec.file.replace('*', 'roll')}",
+            "," if name == "stg_nal" else "|",
+        )
+
+    def write_lookup(spec) -> None:
         header = (spec.delimiter or ",").join(name for name, _, _ in spec.columns)
         fields = [F.col("p_partkey").cast("string"), *[F.lit(" Y ")] * (len(spec.columns) - 1)]
         write_lines(
             parts.select(F.concat_ws(spec.delimiter or ",", *fields)), header,
             f"{raw}/lookups/{spec.file}",
         )
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(write_staging, made))
+        list(pool.map(write_lookup, LOOKUPS.values()))
     squares = to_feet(degrees_of_orders(spark, sf_dir), "lon", "lat").select(
         F.col("parcel_id").alias("PARCELID"), "x", "y", F.lit(50.0).alias("half")
     )
@@ -281,7 +290,3 @@ def _write_layer(stem: str, key: str, ids: list[str], squares: np.ndarray) -> No
     with open(stem + ".dbf", "wb") as f:
         f.write(struct.pack("<4BIHH20x", 3, 126, 1, 1, len(ids), 32 + len(fields), 1 + width))
         f.write(fields + rows + b"\x1a")
-
-
-def union(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
@@ -29,11 +31,15 @@ def fit(vectors: DataFrame, k: int, seed: int = SEED) -> KMeansModel:
 
 
 def kmeans_sweep(
-    vectors: DataFrame, ks=K_RANGE, seed: int = SEED
+    vectors: DataFrame, ks=K_RANGE, seed: int = SEED, parallelism: int = 4
 ) -> tuple[DataFrame, dict[int, KMeansModel]]:
-    """Fit every k on the same persisted vectors: a table (k, wcss), and the models."""
+    """Fit every k on the same persisted vectors: a table (k, wcss), and the models.
+
+    The fits are independent, and each waits for the driver between its passes, so a few run at once.
+    """
     held = vectors.select("features").persist(StorageLevel.MEMORY_AND_DISK)
-    models = {k: fit(held, k, seed) for k in ks}
+    with ThreadPoolExecutor(parallelism) as pool:
+        models = dict(zip(ks, pool.map(lambda k: fit(held, k, seed), ks)))
     held.unpersist()
     rows = [(k, float(model.summary.trainingCost)) for k, model in models.items()]
     return vectors.sparkSession.createDataFrame(rows, "k int, wcss double"), models

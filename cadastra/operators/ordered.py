@@ -201,7 +201,8 @@ def ordered_totals(
     """Add the running sum of ``value`` in (value, tie) order and the rank of ``value`` per group.
 
     NULLs come last; rows equal in value and tie are peers and share one running sum; ranks share
-    ties and leave gaps. ``staged=True`` says that ``df`` is already a cheap scan of written files.
+    ties and leave gaps. ``staged=True`` says that ``df`` is already a cheap scan of written files,
+    with no shuffle since.
     """
     _check_exact(df, value)
     number = F.col(value).cast("decimal(20,0)") if isinstance(
@@ -225,7 +226,8 @@ def ordered_totals(
     flagged = _level_flags(place_rows(source, cuts), cuts, len(by) + 1)
     places = _place_table(flagged.withColumn("_number", number), by, "_number", cuts)
 
-    # Rows at a cut need no common task. The salt is reproducible: the input is a scan of files.
+    # Rows at a cut need no common task. The salt is reproducible in a repeated task, since the input
+    # is a scan of files without a shuffle in between.
     salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salted = flagged.withColumn(
         _SALT, F.when(F.col(AT_CUT), F.floor(F.rand(11) * salts)).otherwise(F.lit(-1))
