@@ -26,9 +26,11 @@ def attach(df: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS, fraction: float = _SAMPLE) -> list:
-    """Keys with about ``hot_rows`` rows or more, largest first, judged from a sample."""
-    sampled = df.select(key).sample(fraction, 5).filter(F.col(key).isNotNull())
-    counts = sampled.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    """Keys with about ``hot_rows`` rows or more, largest first, judged from a sample.
+
+    The list may hold None. It only steers how rows are joined, so it may be short of some keys.
+    """
+    counts = df.select(key).sample(fraction, 5).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     hot = counts.filter(F.col("n") >= hot_rows * fraction).orderBy(F.desc("n")).limit(_HOT_LIST)
     return [row[0] for row in hot.collect()]
 
@@ -46,7 +48,7 @@ def left_enrich(
     are hot in ``other`` go through an inner join, where either side may be split: they do occur in
     ``other``, so the result is the same.
     """
-    hot = hot_keys(other, key, hot_rows, fraction)
+    hot = [found for found in hot_keys(other, key, hot_rows, fraction) if found is not None]
     if not hot:
         return df.join(other, key, "left")
     is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))

@@ -1,5 +1,6 @@
 """Joins, audits, warehouse, whole builds, and the shape of the physical plans."""
 
+from datetime import datetime
 from decimal import Decimal
 
 import pytest
@@ -14,7 +15,7 @@ from cadastra.operators.parcels import recent_totals
 from cadastra.plans.build import (
     build_warehouse, crs_of, project_coordinates, publish_clusters, reproject_dimension, with_crs,
 )
-from cadastra.plans.parcels import DIM_COLUMNS, StudyRules, build_dim_parcels
+from cadastra.plans.parcels import DIM_COLUMNS, StudyRules, build_dim_parcels, parcel_base
 from cadastra.plans.warehouse import Warehouse, decode_table
 from cadastra.shared import scratch_path, scratch_scope, shared_dir, stage
 from cadastra.sources.contracts import STAGING
@@ -101,8 +102,6 @@ def staging(spark, name, data):
 
 
 def test_dimension_of_hand_made_parcels(spark):
-    from datetime import datetime
-
     def parcel(key, use, value, **more):
         return {
             "parcel_id": key, "dor_use_code": use, "total_value": value, "homestead": Decimal(0),
@@ -146,6 +145,20 @@ def test_dimension_of_hand_made_parcels(spark):
     ]
 
 
+def test_hot_and_missing_parcel_keys_are_joined_apart(spark):
+    parcels = standins.parcels(spark, SF_DIR)
+    keys = F.when(F.col("on_reconcile") == "P", F.lit(None)).when(
+        F.col("on_reconcile") == "F", F.lpad(F.lit("7"), 18, "0")).otherwise(F.col("parcel_id"))
+    parcels = parcels.withColumn("parcel_id", keys)
+    inputs = [
+        standins.roll(spark, SF_DIR), standins.centroids_in_feet(spark, SF_DIR), standins.permits(spark, SF_DIR)]
+    assert set(hot_keys(parcels, "parcel_id", 100, 1.0)) == {None, "7".rjust(18, "0")}
+    plain = parcel_base(parcels, *inputs, StudyRules(as_of="2001-08-01"))
+    apart = parcel_base(parcels, *inputs, StudyRules(as_of="2001-08-01", hot_rows=100, hot_sample=1.0))
+    assert "Union" in plan(apart) and "Union" not in plan(plain)
+    assert rows(apart.select(sorted(apart.columns))) == rows(plain.select(sorted(plain.columns)))
+
+
 DICTIONARY_TYPES = {
     "parcel_id": "string", "latitude": "double", "longitude": "double",
     "nbrhd_code": "decimal(10,2)", "homestead": "decimal(10,2)", "total_acreage": "decimal(12,4)",
@@ -225,8 +238,6 @@ def test_placed_scan_is_right_when_its_tables_are_not_broadcast(spark, no_broadc
 
 
 def test_parcel_joins_shuffle_each_input_once(spark, no_broadcast):
-    from cadastra.plans.parcels import parcel_base
-
     inputs = [
         stage(df) for df in (
             standins.parcels(spark, SF_DIR), standins.roll(spark, SF_DIR),
