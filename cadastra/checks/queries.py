@@ -397,11 +397,12 @@ def q_elbow_select(spark, sf_dir):
                  / (F.col("e.hi") - F.col("e.lo") + 1).cast("double"))
     binned = (
         cents.withColumn("e", ends)
-        .select("v", "e", F.explode(F.sequence(F.lit(2), F.lit(10))).alias("k"))
+        .withColumn("square", (F.col("v").cast("bigint") * F.col("v").cast("bigint")).cast("decimal(18,0)"))
+        .select("v", "square", "e", F.explode(F.sequence(F.lit(2), F.lit(10))).alias("k"))
         .groupBy("k", at.alias("bin"))
         .agg(
             F.count(F.lit(1)).alias("n"), F.sum("v").alias("s"),
-            F.sum((F.col("v") * F.col("v")).cast("decimal(38,0)")).alias("s2"),
+            F.sum(F.col("square")).alias("s2"),
         )
     )
     spread = (F.col("n").cast("decimal(12,0)") * F.col("s2").cast("decimal(26,0)")
