@@ -160,6 +160,7 @@ def _place_table(flagged: DataFrame, by: list[str], value: str, cuts: Cuts) -> D
         .join(starts.withColumnRenamed("_level", "_start"), F.col("_level") == F.col("_start"))
         .select(*by, "_cut", (F.col("_upto") - F.col("_shared") + 1).alias("_rank"))
     )
+
     def ends(name: str, cut: Column) -> DataFrame:
         return ranked.select(
             *[F.col(b).alias(f"_{name}_{b}") for b in by],
