@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadastra.llm import bpe, quality, sharding, simhash, token_counts
+from cadastra.llm import bpe, quality, secrets, sharding, simhash, token_counts, toxicity
 from cadastra.llm.common import read_table
 from cadastra.shared import scratch_path, stage
 
@@ -25,6 +25,14 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_documents(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(secrets.scan_secrets(read_table(spark, sf_dir, "documents")))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), radius=4, shingle=4)
 
@@ -71,6 +79,8 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_bpe": op2_bpe,
+    "op3_toxicity": op3_toxicity,
+    "op5_secret_scan": op5_secret_scan,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_sharding": op8_sharding,
@@ -111,11 +121,11 @@ ORACLES: dict[str, str] = {
             GROUP BY row_id
         ), measured AS (
             SELECT doc_id, text, len(words)::BIGINT AS n_words,
-                coalesce(list_sum(list_transform(words, x -> length(x))), 0)::BIGINT AS word_chars,
+                coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
                 (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
-                (len(list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')))
+                (len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))
                  - len(list_distinct(list_filter(string_split(text, chr(10)),
-                                                 x -> regexp_matches(x, '[^\x20\x09-\x0D]')))))::BIGINT AS n_dup_lines,
+                                                 lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))))::BIGINT AS n_dup_lines,
                 coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
             FROM split LEFT JOIN covered USING (row_id)
         ), judged AS (
