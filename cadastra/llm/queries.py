@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadastra.llm import bpe, quality, secrets, sharding, simhash, token_counts, toxicity
+from cadastra.llm import bpe, decontamination, quality, secrets, sharding, simhash, token_counts, toxicity
 from cadastra.llm.common import read_table
 from cadastra.shared import scratch_path, stage
 
@@ -21,6 +21,10 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_documents(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -78,6 +82,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_bpe": op2_bpe,
     "op3_toxicity": op3_toxicity,
     "op5_secret_scan": op5_secret_scan,

@@ -13,7 +13,6 @@ verified. With three segments and radius 4: one bit in either of the first two,
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -24,9 +23,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cadastra.llm.components import components
+from cadastra.llm.hamming import BITS, balls, entries, search_plan
 from cadastra.shared import stage
 
-BITS = 64
 SEED = 42
 # Hashes whose bits are counted at once.
 _CHUNK = 1 << 15
@@ -67,45 +66,6 @@ def with_fingerprint(docs: DataFrame, text: str = "text", shingle: int = 4, name
     return docs.mapInArrow(add, schema)
 
 
-def search_plan(radius: int, segments: int) -> list[tuple[int, int, int]]:
-    """(shift, width, bits) of each segment to search: the pigeonhole bound with its remainder.
-
-    If all of the first ``b + 1`` segments differ by more than ``a`` bits and the others by more than
-    ``a - 1``, the distance is over ``a * segments + b``, the radius.
-    """
-    a, b = divmod(radius, segments)
-    widths = [BITS // segments + (at < BITS % segments) for at in range(segments)]
-    shifts = [sum(widths[:at]) for at in range(segments)]
-    plan = [(s, w, a if at <= b else a - 1) for at, (s, w) in enumerate(zip(shifts, widths))]
-    return [part for part in plan if part[2] >= 0]
-
-
-def ball(width: int, bits: int) -> list[int]:
-    """All masks of at most ``bits`` ones among ``width``."""
-    return [sum(1 << i for i in ones) for n in range(bits + 1) for ones in combinations(range(width), n)]
-
-
-def _value(shift: int, width: int) -> Column:
-    return F.shiftrightunsigned("fp", shift).bitwiseAND((1 << width) - 1)
-
-
-def _entries(fps: DataFrame, plan: list[tuple[int, int, int]]) -> DataFrame:
-    """(segment, key, fp) for each segment of each fingerprint."""
-    pairs = [F.struct(F.lit(at).alias("segment"), _value(s, w).alias("key")) for at, (s, w, _) in enumerate(plan)]
-    return fps.select("fp", F.explode(F.array(*pairs)).alias("at")).select("at.segment", "at.key", "fp")
-
-
-def _balls(entries: DataFrame, plan: list[tuple[int, int, int]]) -> DataFrame:
-    """Each entry once for every value in the ball around its key."""
-    choice = None
-    for at, (_, width, bits) in enumerate(plan):
-        masks = F.lit(ball(width, bits)).cast("array<long>")
-        choice = F.when(F.col("segment") == at, masks) if choice is None else choice.when(F.col("segment") == at, masks)
-    rest = [name for name in entries.columns if name not in ("segment", "key")]
-    spread = entries.select("segment", "key", *rest, F.explode(choice).alias("mask"))
-    return spread.select("segment", F.col("key").bitwiseXOR(F.col("mask")).alias("key"), *rest)
-
-
 def _forest(radius: int):
     """Spanning forest of the links among the fingerprints of one block, by breadth-first search."""
 
@@ -134,12 +94,12 @@ def links(fps: DataFrame, radius: int = 4, segments: int = 3, block: int = 512)
     some 10^8 distinct fingerprints, 2 (529 and 33 probes on 32-bit keys) beyond.
     """
     plan = search_plan(radius, segments)
-    entries = _entries(fps, plan)
+    listed = entries(fps.select("fp"), "fp", plan)
     crowded = stage(
-        entries.groupBy("segment", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block), "crowded"
+        listed.groupBy("segment", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block), "crowded"
     )
     # Every value whose ball meets a crowded one: how many parts its entries and its probes need.
-    around = _balls(crowded, plan)
+    around = balls(crowded, plan)
     probes = around.groupBy("segment", "key").agg(F.sum("n").alias("probes"))
     hot = stage(
         probes.join(crowded, ["segment", "key"], "left").select(
@@ -149,12 +109,12 @@ def links(fps: DataFrame, radius: int = 4, segments: int = 3, block: int = 512)
         ), "hot",
     )
     near = F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= radius
-    probing = _balls(entries, plan)
+    probing = balls(listed, plan)
     if hot.isEmpty():
-        return entries.join(probing.withColumnRenamed("fp", "other"), ["segment", "key"]).where(
+        return listed.join(probing.withColumnRenamed("fp", "other"), ["segment", "key"]).where(
             (F.col("fp") < F.col("other")) & near
         ).select(F.col("fp").alias("a"), F.col("other").alias("b"))
-    marked = entries.join(hot, ["segment", "key"], "left")
+    marked = listed.join(hot, ["segment", "key"], "left")
     probing = probing.join(hot, ["segment", "key"], "left")
     cold = marked.where("entry_parts IS NULL").join(
         probing.where("entry_parts IS NULL").select("segment", "key", F.col("fp").alias("other")), ["segment", "key"]
