@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadastra.llm import bpe, decontamination, quality, secrets, sharding, simhash, token_counts, toxicity
+from cadastra.llm import bpe, decontamination, quality, secrets, sharding, simhash, substring, token_counts, toxicity
 from cadastra.llm.common import read_table
 from cadastra.shared import scratch_path, stage
 
@@ -33,6 +33,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.digests(read_table(spark, sf_dir, "documents"))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.scan_secrets(read_table(spark, sf_dir, "documents")))
 
@@ -85,6 +89,7 @@ QUERIES: dict[str, Query] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_bpe": op2_bpe,
     "op3_toxicity": op3_toxicity,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_secret_scan": op5_secret_scan,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_token_counts": op7_token_counts,
