@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadastra.llm import bpe, decontamination, quality, secrets, sharding, simhash, substring, token_counts, toxicity
+from cadastra.llm import bpe, decontamination, quality, secrets, sharding, simhash, substring, suffix, token_counts, toxicity
 from cadastra.llm.common import read_table
 from cadastra.shared import scratch_path, stage
 
@@ -85,6 +85,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.apply_rules(read_table(spark, sf_dir, "documents")).drop("rejected_by")
 
 
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.digests(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_bpe": op2_bpe,
@@ -95,6 +99,7 @@ QUERIES: dict[str, Query] = {
     "op7_token_counts": op7_token_counts,
     "op8_sharding": op8_sharding,
     "op9_quality_rules": op9_quality_rules,
+    "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"

@@ -155,13 +155,47 @@ def near_duplicates(
 
 
 def representatives(printed: DataFrame, radius: int = 4, segments: int = 3, block: int = 512) -> DataFrame:
-    """(fp, component_id) of every distinct fingerprint of ``printed`` (doc_id, fp)."""
+    """(fp, root, component_id) of every distinct fingerprint of ``printed`` (doc_id, fp).
+
+    ``root`` is the least fingerprint of the component, ``component_id`` its smallest doc_id.
+    """
     least = stage(printed.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     linked = stage(links(least.select("fp"), radius, segments, block).distinct(), "links")
     roots = components(linked).withColumnRenamed("node", "fp")
     members = stage(roots.join(least, "fp"), "members")
     smallest = members.groupBy("root").agg(F.min("least").alias("component_id"))
-    reached = members.join(smallest, "root").select("fp", "component_id")
+    reached = members.join(smallest, "root").select("fp", "root", "component_id")
     return least.join(reached, "fp", "left").select(
-        "fp", F.coalesce("component_id", "least").alias("component_id")
+        "fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component_id", "least").alias("component_id")
+    )
+
+
+def one_of_each(docs: DataFrame, radius: int = 4, shingle: int = 4, segments: int = 3, block: int = 512) -> DataFrame:
+    """One row of ``docs`` per component, in its own columns: that with the smallest doc_id.
+
+    Among rows that share that id, or in a component without any id, the least of the rows' digests
+    decides, and of equal rows one stays. A null text counts as empty. Texts are shuffled once, by
+    fingerprint, against one row per fingerprint.
+    """
+    columns = docs.columns
+    printed = stage(with_fingerprint(docs, shingle=shingle, name="__fp"), "fingerprints")
+    held = [F.col(f"`{name}`") for name in columns]
+    whole = F.xxhash64(*held, *[column.isNull() for column in held])
+    narrow = printed.select("doc_id", F.col("__fp").alias("fp"), whole.alias("row"))
+    reps = stage(representatives(narrow.select("doc_id", "fp"), radius, segments, block), "representatives")
+    # Rows that carry their component's id: usually one, the least by (fingerprint, row) where several.
+    heads = narrow.join(reps, "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    chosen = stage(
+        heads.groupBy("root").agg(F.min(F.struct("fp", "row")).alias("head"))
+        .select(F.col("head.fp").alias("__head_fp"), F.col("head.row").alias("__head_row")), "chosen",
+    )
+    kept = printed.join(
+        chosen, (F.col("__fp") == F.col("__head_fp")) & (whole == F.col("__head_row")), "left_semi"
     )
+    repeated = narrow.groupBy("fp", "row").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    twice = stage(repeated.select(F.col("fp").alias("__head_fp"), F.col("row").alias("__head_row")), "repeated")
+    same = (F.col("__fp") == F.col("__head_fp")) & (whole == F.col("__head_row"))
+    single = kept.join(twice, same, "left_anti").select(*columns)
+    if twice.isEmpty():
+        return single
+    return single.unionByName(kept.join(twice, same, "left_semi").select(*columns).distinct())
