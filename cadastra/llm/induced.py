@@ -84,10 +84,23 @@ def typed(text: np.ndarray, kinds: int, disk: Disk) -> Typed:
 
 
 def common_prefix(text: np.ndarray, left: np.ndarray, right: np.ndarray, cap: int) -> np.ndarray:
-    """Equal symbols from each pair of places on, at most ``cap``; symbol by symbol over open pairs."""
+    """Equal symbols from each pair of places on, at most ``cap``; over open pairs, bytes eight at a time."""
     found = np.zeros(len(left), np.int32)
-    size = len(text)
-    open_pairs = np.arange(len(left))
+    size, open_pairs, step = len(text), np.arange(len(left)), 1
+    if text.dtype == np.uint8 and size > 8:
+        # The eight bytes from each place on, as one number, the first byte lowest.
+        wide, step = np.ndarray((size - 7,), "<u8", np.ascontiguousarray(text), strides=(1,)), 8
+        for _ in range(0, cap, step):
+            a, b = left[open_pairs] + found[open_pairs], right[open_pairs] + found[open_pairs]
+            inside = np.maximum(a, b) < size - 7
+            open_pairs, a, b = open_pairs[inside], a[inside], b[inside]
+            differs = wide[a] ^ wide[b]
+            lowest = differs & (~differs + np.uint64(1))
+            found[open_pairs] += np.where(differs == 0, 8, (np.bitwise_count(lowest - np.uint64(1)) >> 3)).astype(np.int32)
+            open_pairs = open_pairs[differs == 0]
+            if not len(open_pairs):
+                break
+        open_pairs = np.flatnonzero((found < cap) & (np.maximum(left, right) + found >= size - 7))
     for _ in range(cap):
         a, b = left[open_pairs] + found[open_pairs], right[open_pairs] + found[open_pairs]
         inside = (a < size) & (b < size)
@@ -96,7 +109,7 @@ def common_prefix(text: np.ndarray, left: np.ndarray, right: np.ndarray, cap: in
         if not len(open_pairs):
             break
         found[open_pairs] += 1
-    return found
+    return np.minimum(found, cap)
 
 
 def _grouped(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

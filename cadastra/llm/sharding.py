@@ -169,9 +169,8 @@ def shard_documents(docs: DataFrame, shards: int = 40, text: str = "text") -> Da
     if total:
         capacity, known = smallest_capacity(ends, total, shards)
         cuts = even_cuts(known, capacity, shards)
-    shard = F.lit(0)
-    for cut in cuts[:-1]:
-        shard = shard + (F.col("through") > cut).cast("int")
+    ends_before = F.filter(F.lit(cuts[:-1]).cast("array<long>"), lambda cut: cut < F.col("through"))
+    shard = F.size(ends_before) if cuts[:-1] else F.lit(0)
     numbered = running.withColumn("shard", shard)
     starts = stage(numbered.groupBy("shard").agg(F.min("place").alias("start")), "starts")
     return numbered.join(starts, "shard").select(

@@ -1,8 +1,8 @@
 """Repeated byte strings, found by suffix arrays over shards.
 
 1. Anchors of all 400-byte windows are counted over the corpus. A run of windows with one anchor occurrence
-   whose anchor recurs is cut into pieces of at most 48 windows, by the distance of the window from its
-   anchor, so equal windows lie in equal places of pieces that share at least 353 bytes around the anchor.
+   whose anchor recurs is cut into pieces of at most 97 windows, by the distance of the window from its
+   anchor, so equal windows lie in equal places of pieces that share at least 304 bytes around the anchor.
 2. Pieces that occur twice as a whole are repeated throughout. Of the others, only those that share their
    core with a different piece are left: one text each is cut out and dealt to a shard by its core.
 3. A shard's suffix array and common prefixes come from induced sorting on disk (:mod:`induced`), whose
@@ -33,8 +33,8 @@ from cadastra.shared import stage
 
 LENGTH = 400
 GRAM = 16
-# Windows per piece; the core is what all windows of a piece cover.
-CLASS = 48
+# Windows per piece, a quarter of those around an anchor; the core is what all windows of a piece cover.
+CLASS = 97
 BUCKET_BYTES = 4 << 20
 SHARD_BYTES = 4 << 20
 # No UTF-8 text has this byte; it ends each piece of a shard.
