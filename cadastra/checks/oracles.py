@@ -33,6 +33,16 @@ def _study(by: str, where: str = "TRUE", measures: str | None = None) -> str:
     """
 
 
+def _study_all() -> str:
+    """The same statistics of all sales as one group."""
+    measures = _study("g").split("SELECT g, ")[1].split(" FROM q JOIN")[0]
+    return f"""
+    WITH s AS ({_SALES}), q AS (SELECT *, av::DOUBLE / sp::DOUBLE AS r FROM s WHERE sp > 0),
+    m AS (SELECT MEDIAN(r) AS med FROM q)
+    SELECT {measures} FROM q, m
+    """
+
+
 def _basic_stratum(code: str, total: str, assessed: str, taxable: str, homestead: str, recent: str, flag: str) -> str:
     """Strata by number of the use code: fields ``n``, ``farm`` and ``public`` over one row."""
     n = f"CAST({code} AS INTEGER)"
@@ -85,6 +95,12 @@ WITH priced AS (SELECT *, CAST(o_totalprice AS DECIMAL(18,2)) AS price FROM orde
 SELECT o_orderkey, o_orderpriority, grp AS value_group FROM grouped
 """
 
+_VALUE_GROUPS_ALL = f"""
+WITH priced AS (SELECT *, CAST(o_totalprice AS DECIMAL(18,2)) AS price FROM orders),
+{_groups('priced', '1', 'price', 'o_orderkey', '0.0001')}
+SELECT o_orderkey, grp AS value_group FROM grouped
+"""
+
 _CUMULATIVE = """
 WITH priced AS (SELECT *, CAST(o_totalprice AS DECIMAL(18,2)) AS price FROM orders),
 summed AS (
@@ -230,7 +246,8 @@ ORACLES: dict[str, str] = {
         FROM part""",
     "typed_projection": """
         WITH t AS (SELECT *, CAST(o_totalprice AS DECIMAL(18,2)) AS m,
-            CASE WHEN o_orderstatus = 'P' THEN 'n/a' ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END AS price
+            CASE WHEN o_orderstatus = 'P' THEN 'n/a' WHEN o_orderpriority = '5-LOW' THEN '0.4999999'
+                 WHEN o_orderpriority = '4-NOT SPECIFIED' THEN '1.4999999999' ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END AS price
             FROM orders)
         SELECT o_orderkey::VARCHAR AS parcel_id, TRY_CAST(price AS INTEGER) AS whole,
                TRY_CAST(price AS DECIMAL(10,2))::DOUBLE AS amount, TRY_CAST(price AS DOUBLE) AS ratio,
@@ -285,6 +302,8 @@ ORACLES: dict[str, str] = {
     "rank_in_stratum_placed": _RANKED,
     "value_groups": _VALUE_GROUPS,
     "value_groups_placed": _VALUE_GROUPS,
+    "value_groups_all": _VALUE_GROUPS_ALL,
+    "value_groups_all_placed": _VALUE_GROUPS_ALL,
     "sales_ratio": f"""
         SELECT l_orderkey, l_linenumber, CASE WHEN sp > 0 THEN ROUND(av::DOUBLE / sp::DOUBLE, 9) END AS ratio
         FROM ({_SALES})""",
@@ -294,9 +313,12 @@ ORACLES: dict[str, str] = {
     ),
     "ratio_study": _study("p_brand"),
     "ratio_study_placed": _study("p_brand"),
+    "ratio_study_all": _study_all(),
+    "ratio_study_all_placed": _study_all(),
     "ratio_study_filtered": _study("l_returnflag", """
         l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0) AND
-        p_type IN (SELECT p_type FROM part GROUP BY p_type HAVING AVG(p_retailprice) > 1000)"""),
+        p_type IN (SELECT p_type FROM part GROUP BY p_type
+                   HAVING AVG(p_retailprice) > (SELECT AVG(p_retailprice) FROM part))"""),
     "fanout_audit": """
         WITH n AS (SELECT (SELECT COUNT(*) FROM orders) AS b,
             (SELECT COUNT(*) FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey) AS o)
@@ -327,6 +349,17 @@ ORACLES: dict[str, str] = {
                ROUND(ABS((x2 - x1) * (y1 - wcss) - (x1 - k) * (y2 - y1))
                      / SQRT((x2 - x1) ** 2 + (y2 - y1) ** 2), 5) AS distance
         FROM sweep, ends""",
+    "kmeans_properties": """
+        SELECT k::INTEGER AS k, (SELECT COUNT(*) FROM part) AS assigned, k::BIGINT AS clusters,
+               TRUE AS cost_matches, TRUE AS labels_match FROM range(2, 11) AS ks(k)""",
+    "parcel_cluster_properties": """
+        SELECT (SELECT COUNT(*) FROM orders) AS parcels, (SELECT COUNT(*) FROM orders) AS keys,
+               TRUE AS k_in_range, TRUE AS labels_match, TRUE AS all_used""",
+    "one_hot_sparse": """
+        SELECT p_partkey, 1 + CASE WHEN p_type = (SELECT MIN(p_type) FROM part) THEN 0 ELSE 1 END
+               + CASE WHEN p_brand = (SELECT MIN(p_brand) FROM part) THEN 0 ELSE 1 END AS stored,
+               (SELECT COUNT(DISTINCT p_type) + COUNT(DISTINCT p_brand) - 1 FROM part)::INTEGER AS width
+        FROM part""",
     "polygon_centroid": """
         WITH c AS (SELECT *, 700000.0::DOUBLE + c_custkey AS x, 1300000.0::DOUBLE + 10 * c_nationkey AS y,
                           100.0::DOUBLE + c_nationkey AS s FROM customer)
@@ -338,7 +371,7 @@ ORACLES: dict[str, str] = {
         SELECT lpad(CAST(o_orderkey AS VARCHAR), 18, '0') AS parcel_id,
                ROUND((o_orderkey % 90001) / 100000 - 82.05, 6)::DOUBLE AS longitude,
                ROUND((o_custkey % 70001) / 100000 + 27.65, 6)::DOUBLE AS latitude
-        FROM orders WHERE o_orderpriority <> '5-LOW'""",
+        FROM orders""",
     "dim_build": _dim(),
     "dim_build_placed": _dim(),
     "warehouse_build": _dim(),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +15,7 @@ from cadastra.functions.geometry import ring_centroid
 from cadastra.functions.stateplane import to_degrees
 from cadastra.operators.audit import duplicate_keys, fanout_audit, table_profile
 from cadastra.operators.clusters import assign_clusters, choose_k, elbow, kmeans_sweep
-from cadastra.operators.features import feature_table, one_hot, standardize
+from cadastra.operators.features import feature_table, feature_vectors, one_hot, standardize
 from cadastra.operators.joins import left_enrich
 from cadastra.operators.ordered import ordered_totals
 from cadastra.operators.parcels import key_decompose, last_inspection, recent_activity
@@ -23,7 +24,7 @@ from cadastra.operators.strata import (
     basic_stratum, cumulative_share, stratum_collapse, value_groups,
 )
 from cadastra.plans.build import (
-    build_warehouse, cluster_parcels, parcel_features, project_coordinates, reproject_dimension,
+    CLUSTER_CATEGORIES, CLUSTER_NUMBERS, build_warehouse, cluster_parcels, parcel_features, project_coordinates, reproject_dimension,
     vectors_of, with_crs,
 )
 from cadastra.plans.parcels import StudyRules, build_dim_parcels
@@ -115,7 +116,10 @@ def q_typed_projection(spark, sf_dir):
     price = money("o_totalprice").cast("string")
     as_text = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").cast("string").alias("KEY"),
-        F.when(F.col("o_orderstatus") == "P", F.lit("n/a")).otherwise(price).alias("PRICE"),
+        F.when(F.col("o_orderstatus") == "P", F.lit("n/a"))
+        .when(F.col("o_orderpriority") == "5-LOW", F.lit("0.4999999"))
+        .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit("1.4999999999"))
+        .otherwise(price).alias("PRICE"),
         F.concat(price, F.lit("e3")).alias("LARGE"),
         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("DATED"),
         F.expr("case o_orderstatus when 'F' then 'Yes' when 'O' then '0' else 'on' end").alias("FLAG"),
@@ -160,8 +164,8 @@ def q_polygon_layer(spark, sf_dir):
         (F.col("c_nationkey") + 1).cast("double").alias("half"),
     )
     folder = scratch_path(spark, "polygons")
-    standins.write_square_layers(squares, folder.removeprefix("file://").removeprefix("file:"))
-    placed = centroids(read_polygons(spark, folder, records_per_partition=400), "PARCELID")
+    standins.write_square_layers(squares, folder)
+    placed = centroids(read_polygons(spark, folder), "PARCELID")
     return placed.select("parcel_id", _rounded("longitude"), _rounded("latitude"))
 
 
@@ -294,6 +298,19 @@ def _grouped(**scan) -> Query:
     return query
 
 
+def _grouped_all(**scan) -> Query:
+    """Value groups of the whole table as one stratum."""
+
+    def query(spark, sf_dir):
+        out = value_groups(
+            _orders_by_priority(spark, sf_dir), [], "price", "o_orderkey", "value_group",
+            outlier_share=0.0001, **scan,
+        )
+        return out.select("o_orderkey", "value_group")
+
+    return query
+
+
 # --- ratio studies -----------------------------------------------------------------------------
 
 def _sales(spark, sf_dir) -> DataFrame:
@@ -323,10 +340,10 @@ def q_ratio_prd(spark, sf_dir):
     return out.select("l_returnflag", _rounded("prd"))
 
 
-def _study(df: DataFrame, by: str, **median) -> DataFrame:
-    out = ratio_study(df, [by], "assessed", "price", **median)
+def _study(df: DataFrame, *by: str, **median) -> DataFrame:
+    out = ratio_study(df, list(by), "assessed", "price", **median)
     measures = ("median_ratio", "mean_ratio", "weighted_mean_ratio", "cod", "prd")
-    return out.select(by, "sales", *[_rounded(m) for m in measures])
+    return out.select(*by, "sales", *[_rounded(m) for m in measures])
 
 
 def q_ratio_study(spark, sf_dir):
@@ -337,12 +354,22 @@ def q_ratio_study_placed(spark, sf_dir):
     return _study(_sales(spark, sf_dir), "p_brand", **PLACED)
 
 
+def q_ratio_study_all(spark, sf_dir):
+    """The whole roll as one group."""
+    return _study(_sales(spark, sf_dir))
+
+
+def q_ratio_study_all_placed(spark, sf_dir):
+    return _study(_sales(spark, sf_dir), **PLACED)
+
+
 def q_ratio_study_filtered(spark, sf_dir):
     """Only sales whose transaction code and stratum are flagged; supplier and type stand for them."""
     suppliers = table(spark, sf_dir, "supplier").withColumn("flag", F.col("s_acctbal") > 0)
-    types = table(spark, sf_dir, "part").groupBy("p_type").agg(
-        (F.avg("p_retailprice") > 1000).alias("flag")
-    ).withColumnRenamed("p_type", "stratum")
+    parts = table(spark, sf_dir, "part")
+    usual = parts.agg(F.avg("p_retailprice")).scalar()
+    types = parts.groupBy(F.col("p_type").alias("stratum")).agg(F.avg("p_retailprice").alias("price"))
+    types = types.withColumn("flag", F.col("price") > usual)
     sales = eligible_sales(_sales(spark, sf_dir), suppliers, "l_suppkey", "s_suppkey", "flag")
     return _study(eligible_sales(sales, types, "p_type", "stratum", "flag"), "l_returnflag")
 
@@ -440,12 +467,57 @@ def q_parcel_clusters(spark, sf_dir):
         "parcel_id",
     )
     labels, _ = cluster_parcels(
-        parcel_features(described, lines), "parcel_id", ["total_value", "total_under_roof"],
-        ["impvmt_quality"], ks=range(2, 7),
+        parcel_features(described, lines), "parcel_id", CLUSTER_NUMBERS, CLUSTER_CATEGORIES
     )
     return labels
 
 
+def q_kmeans_properties(spark, sf_dir):
+    """Per k: rows and labels of the assignment, and its squared distances against the model's cost."""
+    vectors = _part_vectors(spark, sf_dir)
+    sweep, models = kmeans_sweep(vectors)
+    costs = {row["k"]: row["wcss"] for row in sweep.collect()}
+    checked = None
+    for k, model in models.items():
+        squared = vector_to_array("features")
+        centres = F.array(*[F.lit(c.tolist()) for c in model.clusterCenters()])
+        own = F.get(centres, F.col("prediction"))
+        apart = F.aggregate(
+            F.zip_with(squared, own, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)
+        labels = assign_clusters(model, vectors, "p_partkey")
+        row = model.transform(vectors).withColumn("apart", apart).join(labels, "p_partkey").agg(
+            F.lit(k).alias("k"), F.count("p_partkey").alias("assigned"),
+            F.count_distinct("cluster_label").alias("clusters"),
+            (F.abs(F.sum("apart") - costs[k]) < 1e-6 * costs[k]).alias("cost_matches"),
+            F.bool_and(F.col("cluster_label").rlike("^Cluster [1-9][0-9]*$")).alias("labels_match"),
+        )
+        checked = row if checked is None else checked.unionByName(row)
+    return checked
+
+
+def q_parcel_cluster_properties(spark, sf_dir):
+    """Every parcel once, with a label of a k in range, and every label in use."""
+    number = F.regexp_extract("cluster_label", "([0-9]+)$", 1).cast("int")
+    return q_parcel_clusters(spark, sf_dir).agg(
+        F.count(F.lit(1)).alias("parcels"), F.count_distinct("parcel_id").alias("keys"),
+        F.max(number).between(2, 10).alias("k_in_range"),
+        F.bool_and(F.col("cluster_label").rlike("^Cluster [1-9][0-9]*$")).alias("labels_match"),
+        (F.count_distinct("cluster_label") == F.max(number)).alias("all_used"),
+    )
+
+
+def q_one_hot_sparse(spark, sf_dir):
+    """Stored values and width of the vectors of a number and two categories."""
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_type", "p_brand")
+    vectors = feature_vectors(parts, ["p_partkey"], ["p_size"], ["p_type", "p_brand"])
+    shown = F.col("features")
+    return vectors.select(
+        "p_partkey",
+        F.size(F.filter(vector_to_array(shown), lambda v: v != 0)).alias("stored"),
+        F.size(vector_to_array(shown)).alias("width"),
+    )
+
+
 # --- geometry ----------------------------------------------------------------------------------
 
 def q_polygon_centroid(spark, sf_dir):
@@ -467,7 +539,7 @@ def q_polygon_centroid(spark, sf_dir):
 
 
 def q_project_coordinates(spark, sf_dir):
-    feet = with_crs(standins.centroids_in_feet(spark, sf_dir), "EPSG:2882")
+    feet = with_crs(standins.centroids_in_feet(spark, sf_dir, all_orders=True), "EPSG:2882")
     return project_coordinates(feet).select("parcel_id", _rounded("longitude"), _rounded("latitude"))
 
 
@@ -494,7 +566,7 @@ def q_dim_build_placed(spark, sf_dir):
 
 def q_warehouse_build(spark, sf_dir):
     """Raw files made of the given tables, through the whole build, to degrees."""
-    raw = scratch_path(spark, "raw").removeprefix("file://").removeprefix("file:")
+    raw = scratch_path(spark, "raw")
     standins.write_raw_files(spark, sf_dir, raw)
     warehouse, _ = build_warehouse(spark, raw, scratch_path(spark, "warehouse"), RULES)
     reproject_dimension(warehouse)
@@ -525,11 +597,15 @@ QUERIES: dict[str, Query] = {
     "rank_in_stratum_placed": _ranked(strategy="placed", rows_per_place=50),
     "value_groups": _grouped(),
     "value_groups_placed": _grouped(**PLACED),
+    "value_groups_all": _grouped_all(),
+    "value_groups_all_placed": _grouped_all(**PLACED),
     "sales_ratio": q_sales_ratio,
     "ratio_cod": q_ratio_cod,
     "ratio_prd": q_ratio_prd,
     "ratio_study": q_ratio_study,
     "ratio_study_placed": q_ratio_study_placed,
+    "ratio_study_all": q_ratio_study_all,
+    "ratio_study_all_placed": q_ratio_study_all_placed,
     "ratio_study_filtered": q_ratio_study_filtered,
     "fanout_audit": q_fanout_audit,
     "duplicate_keys": q_duplicate_keys,
@@ -540,6 +616,9 @@ QUERIES: dict[str, Query] = {
     "kmeans_sweep": q_kmeans_sweep,
     "kmeans_assign": q_kmeans_assign,
     "parcel_clusters": q_parcel_clusters,
+    "kmeans_properties": q_kmeans_properties,
+    "parcel_cluster_properties": q_parcel_cluster_properties,
+    "one_hot_sparse": q_one_hot_sparse,
     "polygon_centroid": q_polygon_centroid,
     "project_coordinates": q_project_coordinates,
     "dim_build": dim_build,

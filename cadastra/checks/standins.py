@@ -6,7 +6,6 @@ and buildings, its customer for roll attributes.
 
 from __future__ import annotations
 
-import os
 import struct
 import uuid
 from concurrent.futures import ThreadPoolExecutor
@@ -18,6 +17,7 @@ from pyspark.sql import functions as F
 
 from cadastra.functions.stateplane import FLORIDA_WEST_FT, TransverseMercator
 from cadastra.sources.contracts import LOOKUPS, STAGING
+from cadastra.sources.polygons import file_system
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -97,9 +97,11 @@ def roll(spark: SparkSession, sf_dir: str) -> DataFrame:
     }, {})
 
 
-def degrees_of_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A place in degrees, on a grid of 1e-5, for every order but the low-priority ones."""
-    orders = table(spark, sf_dir, "orders").filter("o_orderpriority <> '5-LOW'")
+def degrees_of_orders(spark: SparkSession, sf_dir: str, all_orders: bool = False) -> DataFrame:
+    """A place in degrees, on a grid of 1e-5, for every order, or all but the low-priority ones."""
+    orders = table(spark, sf_dir, "orders")
+    if not all_orders:
+        orders = orders.filter("o_orderpriority <> '5-LOW'")
     return orders.select(
         F.expr(_pad("o_orderkey")).alias("parcel_id"),
         (F.round((F.col("o_orderkey") % 90001) / 100000, 5) - 82.05).alias("lon"),
@@ -138,8 +140,8 @@ def to_feet(df: DataFrame, lon: str, lat: str, zone: TransverseMercator = FLORID
     })
 
 
-def centroids_in_feet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = to_feet(degrees_of_orders(spark, sf_dir), "lon", "lat")
+def centroids_in_feet(spark: SparkSession, sf_dir: str, all_orders: bool = False) -> DataFrame:
+    placed = to_feet(degrees_of_orders(spark, sf_dir, all_orders), "lon", "lat")
     return placed.select("parcel_id", F.col("x").alias("longitude"), F.col("y").alias("latitude"))
 
 
@@ -239,18 +241,15 @@ def write_raw_files(spark: SparkSession, sf_dir: str, raw: str) -> None:
 
 
 def write_square_layers(df: DataFrame, folder: str) -> int:
-    """Write squares (id, x, y, half side) as polygon layers, one per partition; returns the rows."""
-    os.makedirs(folder, exist_ok=True)
+    """Write squares (id, x, y, half side) as polygon layers, one per batch; returns the rows."""
     key = df.columns[0]
 
     def write(batches):
-        ids, centres = [], []
         for batch in batches:
-            ids += batch[key].tolist()
-            centres.append(batch[["x", "y", "half"]].to_numpy(float))
-        if ids:
-            _write_layer(os.path.join(folder, uuid.uuid4().hex), key, ids, np.concatenate(centres))
-        yield pd.DataFrame({"rows": [len(ids)]})
+            if len(batch):
+                centres = batch[["x", "y", "half"]].to_numpy(float)
+                _write_layer(f"{folder}/{uuid.uuid4().hex}", key, batch[key].tolist(), centres)
+            yield pd.DataFrame({"rows": [len(batch)]})
 
     return df.mapInPandas(write, "rows bigint").agg(F.sum("rows")).first()[0]
 
@@ -283,10 +282,12 @@ def _write_layer(stem: str, key: str, ids: list[str], squares: np.ndarray) -> No
     width = max(len(i) for i in ids)
     fields = struct.pack("<11sc4xB15x", key.encode(), b"C", width) + b"\r"
     rows = b"".join(b" " + i.encode().ljust(width) for i in ids)
-    with open(stem + ".shp", "wb") as f:
-        f.write(head(records.nbytes) + records.tobytes())
-    with open(stem + ".shx", "wb") as f:
-        f.write(head(index.nbytes) + index.tobytes())
-    with open(stem + ".dbf", "wb") as f:
-        f.write(struct.pack("<4BIHH20x", 3, 126, 1, 1, len(ids), 32 + len(fields), 1 + width))
-        f.write(fields + rows + b"\x1a")
+    system, inside = file_system(stem)
+    system.create_dir(inside.rpartition("/")[0], recursive=True)
+    table = struct.pack("<4BIHH20x", 3, 126, 1, 1, len(ids), 32 + len(fields), 1 + width)
+    for suffix, data in (
+        (".shp", head(records.nbytes) + records.tobytes()), (".shx", head(index.nbytes) + index.tobytes()),
+        (".dbf", table + fields + rows + b"\x1a"),
+    ):
+        with system.open_output_stream(inside + suffix) as f:
+            f.write(data)

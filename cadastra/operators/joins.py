@@ -7,17 +7,24 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cadastra.shared import stage
+
 HOT_ROWS = 5_000_000
 _SAMPLE = 0.01
-_HOT_LIST = 1_000
 
 
 def attach(df: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
     """Add the columns of a per-group table (one row per key) to every row; NULL keys match.
 
     No broadcast is asked for: pass a staged table, and Spark broadcasts it when its file size is
-    under ``spark.sql.autoBroadcastJoinThreshold`` and merges otherwise.
+    under ``spark.sql.autoBroadcastJoinThreshold`` and merges otherwise. Without keys ``groups`` is a
+    single row, whose values are attached to every row.
     """
+    if not keys:
+        if not groups.columns:
+            return df
+        held = df.withColumn("_group", groups.select(F.struct(*groups.columns)).scalar())
+        return held.select(*df.columns, "_group.*")
     right = groups.withColumnsRenamed({key: f"_group_{key}" for key in keys})
     match = reduce(
         lambda a, b: a & b, (F.col(key).eqNullSafe(F.col(f"_group_{key}")) for key in keys)
@@ -25,14 +32,15 @@ def attach(df: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
     return df.join(right, match, "left").drop(*[f"_group_{key}" for key in keys])
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS, fraction: float = _SAMPLE) -> list:
-    """Keys with about ``hot_rows`` rows or more, largest first, judged from a sample.
+def hot_keys(
+    df: DataFrame, key: str, hot_rows: int = HOT_ROWS, fraction: float = _SAMPLE
+) -> DataFrame:
+    """A staged table of the keys with about ``hot_rows`` rows or more, judged from a sample.
 
-    The list may hold None. It only steers how rows are joined, so it may be short of some keys.
+    It may hold a null. It only steers how rows are joined, so it may be short of some keys.
     """
-    counts = df.select(key).sample(fraction, 5).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    hot = counts.filter(F.col("n") >= hot_rows * fraction).orderBy(F.desc("n")).limit(_HOT_LIST)
-    return [row[0] for row in hot.collect()]
+    counts = df.select(key).sample(fraction, 5).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return stage(counts.filter(F.col("_n") >= hot_rows * fraction).select(key), "hot-keys")
 
 
 def left_enrich(
@@ -48,9 +56,8 @@ def left_enrich(
     are hot in ``other`` go through an inner join, where either side may be split: they do occur in
     ``other``, so the result is the same.
     """
-    hot = [found for found in hot_keys(other, key, hot_rows, fraction) if found is not None]
-    if not hot:
+    hot = hot_keys(other, key, hot_rows, fraction).filter(F.col(key).isNotNull())
+    if hot.isEmpty():
         return df.join(other, key, "left")
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
-    cold = df.filter(~is_hot).join(other.filter(~is_hot), key, "left")
-    return cold.unionByName(df.filter(is_hot).join(other.filter(is_hot), key))
+    cold = df.join(hot, key, "left_anti").join(other.join(hot, key, "left_anti"), key, "left")
+    return cold.unionByName(df.join(hot, key, "left_semi").join(other.join(hot, key, "left_semi"), key))

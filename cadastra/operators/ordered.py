@@ -24,8 +24,11 @@ from cadastra.shared import stage
 # A group up to this size is sorted by one task; beyond it the rows are placed between cuts.
 PLAIN_ROWS = 1_000_000
 ROWS_PER_PLACE = 200_000
-MAX_CUTS = 32_768
+# A sorted array of cuts is held by every task: some 10 MB. Beyond it places grow with the rows.
+MAX_CUTS = 262_144
 SAMPLE_PER_CUT = 20
+# Keys sorted in one place to pick the cuts from; it only steers how even the places are.
+MOST_SAMPLED = 1_000_000
 
 PLACE, AT_CUT = "_place", "_at_cut"
 _CUTS, _KEY, _SALT = "_cuts", "_key", "_salt"
@@ -69,7 +72,8 @@ def cut_points(
 ) -> Cuts:
     """About ``rows / rows_per_place`` evenly spaced keys, at most ``max_cuts``, from a sample."""
     wanted = max(1, min(max_cuts, rows // max(rows_per_place, 1)))
-    fraction = min(1.0, wanted * SAMPLE_PER_CUT / max(rows, 1))
+    sampled_keys = min(wanted * SAMPLE_PER_CUT, max(MOST_SAMPLED, 2 * wanted))
+    fraction = min(1.0, sampled_keys / max(rows, 1))
     sampled = df.select(sort_key(columns).alias(_KEY)).sample(fraction, 17)
     every = max(1, int(rows * fraction) // (wanted + 1))
     keys = sampled.agg(F.sort_array(F.collect_list(_KEY)).alias("keys"))

@@ -10,7 +10,7 @@ from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-_SETTING = "spark.checkpoint.dir"
+_SETTING, _OWN = "spark.checkpoint.dir", "cadastra.scratch.dir"
 _scope: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
 
 
@@ -36,15 +36,16 @@ def build_session(app: str = "cadastra", master: str | None = None, **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local master may go without the setting: it gets a fresh folder of its own.
+    Where that is unset, ``cadastra.scratch.dir`` may name one during a session. Only a local master may
+    go without either: it gets a fresh folder of its own, the same for the whole session.
     """
-    folder = spark.conf.get(_SETTING, None)
+    folder = spark.conf.get(_SETTING, None) or spark.conf.get(_OWN, None)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {_SETTING} to a folder that all executors share")
+        raise ValueError(f"set {_SETTING} or {_OWN} to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="cadastra-")
-    spark.conf.set(_SETTING, folder)
+    spark.conf.set(_OWN, folder)
     return folder
 
 

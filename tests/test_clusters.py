@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cadastra.operators.clusters import choose_k, elbow, kmeans_sweep
-from cadastra.operators.features import categories, feature_table, one_hot, standardize
+from cadastra.operators.features import categories, feature_table, feature_vectors, one_hot, standardize
 from cadastra.plans.build import cluster_parcels, parcel_features, vectors_of
 from tests.conftest import rows
 
@@ -28,8 +28,26 @@ def test_one_hot_drops_the_first_category(spark):
 def test_missing_values_are_a_category(spark):
     df = spark.createDataFrame([("b",), (None,)], "t string")
     assert categories(df, ["t"]) == {"t": ["None", "b"]}
-    with pytest.raises(ValueError, match="categories"):
-        categories(df, ["t"], limit=1)
+
+
+def test_thousands_of_categories_store_one_flag_a_row(spark):
+    df = spark.range(3_000).selectExpr("id", "cast(id % 7 as double) AS n", "concat('c', id) AS t")
+    vectors = feature_vectors(df, ["id"], ["n"], ["t"]).collect()
+    assert {len(row["features"]) for row in vectors} == {3_000}
+    assert max(len(row["features"].indices) for row in vectors) <= 2
+    assert len(categories(df, ["t"])["t"]) == 3_000
+
+
+def test_vectors_are_the_standardized_columns_unshifted(spark):
+    df = spark.createDataFrame(
+        [(1, 1.0, "b", 5), (2, 3.0, "a", 5), (3, 8.0, None, 5)], "i int, a double, t string, same int")
+    found = {row["i"]: row["features"].toArray() for row in feature_vectors(df, ["i"], ["a", "same"], ["t"]).collect()}
+    encoded, flags = one_hot(df, ["t"])
+    dense = {row["i"]: [row[c] for c in ("a", "same", *flags)] for row in
+             standardize(encoded, ["a", "same", *flags]).collect()}
+    for i, j in ((1, 2), (2, 3), (1, 3)):
+        apart = sum((x - y) ** 2 for x, y in zip(found[i], found[j]))
+        assert apart == pytest.approx(sum((x - y) ** 2 for x, y in zip(dense[i], dense[j])))
 
 
 def test_standardize(spark):
