@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from cadastra.checks.standins import FACTS, fact_values, lookup_values
+from cadastra.sources.contracts import CODE_MAP, LOOKUPS, STAGING
+
 AS_OF = "TIMESTAMP '2001-08-01'"
 SINCE = "TIMESTAMP '2001-02-01'"
 
@@ -226,6 +229,46 @@ _PROFILE = " UNION ALL ".join(
                  "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 )
 
+def _facts() -> str:
+    """Fill and ends of every fact column, from the expressions the raw files were made of."""
+    parts = []
+    for name in FACTS:
+        for (_, out, kind), value in zip(STAGING[name].columns, fact_values(STAGING[name]).values()):
+            text = kind in ("string", "timestamp_ntz")
+            if kind == "timestamp_ntz":
+                value = f"strftime({value}, '%Y-%m-%d')"
+            elif kind == "int":
+                value = f"round({value})"
+            ends = f"NULL::DOUBLE AS least, NULL::DOUBLE AS most, min({value}) AS first_text, max({value}) AS last_text"
+            if not text:
+                ends = (f"min({value})::DOUBLE AS least, max({value})::DOUBLE AS most, "
+                        "NULL::VARCHAR AS first_text, NULL::VARCHAR AS last_text")
+            parts.append(f"SELECT '{name.replace('stg_', 'fact_')}' AS fact, '{out}' AS column_name, "
+                         f"count({value}) AS filled, {ends} FROM lineitem")
+    return " UNION ALL ".join(parts)
+
+
+def _lookups() -> str:
+    parts = []
+    for spec in LOOKUPS.values():
+        key, *others = [wanted for _, wanted in lookup_values(spec)]
+        parts.append(f"SELECT '{spec.name}' AS lookup, {key} AS key, concat_ws('|', {', '.join(others)}) AS explained FROM part")
+    return " UNION ALL ".join(parts)
+
+
+def _decoded() -> str:
+    parts = []
+    for name, codes in CODE_MAP.items():
+        joins, told = [], []
+        for at, (_, lookup, key) in enumerate(codes):
+            joins.append(f"LEFT JOIN sizes s{at} ON s{at}.p_size = (c_custkey * {at + 1}) % 60")
+            told += [f"CASE WHEN s{at}.p_size IS NULL THEN '-' ELSE concat_ws(' ', '{out}', s{at}.name) END"
+                     for _, out, _ in LOOKUPS[lookup].columns if out != key]
+        parts.append(f"SELECT '{name}' AS table_name, c_custkey, concat_ws('|', {', '.join(told)}) AS decoded "
+                     f"FROM customer {' '.join(joins)}")
+    return "WITH sizes AS (SELECT p_size, max(p_name) AS name FROM part GROUP BY p_size) " + " UNION ALL ".join(parts)
+
+
 ORACLES: dict[str, str] = {
     "scan_delimited": """
         SELECT c_custkey::INTEGER AS c_custkey, replace(c_name, '#', ', no ') AS c_name, c_nationkey,
@@ -375,4 +418,7 @@ ORACLES: dict[str, str] = {
     "dim_build": _dim(),
     "dim_build_placed": _dim(),
     "warehouse_build": _dim(),
+    "warehouse_facts": _facts(),
+    "warehouse_lookups": _lookups(),
+    "star_decode_all": _decoded(),
 }

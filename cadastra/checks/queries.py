@@ -28,10 +28,12 @@ from cadastra.plans.build import (
     vectors_of, with_crs,
 )
 from cadastra.plans.parcels import StudyRules, build_dim_parcels
-from cadastra.plans.warehouse import Warehouse, decode
+from cadastra.plans.warehouse import Warehouse, decode, decode_table
 from cadastra.shared import scratch_path, stage
-from cadastra.sources.contracts import LookupSpec
-from cadastra.sources.delimited import DelimitedScan, project_typed, scan_delimited
+from cadastra.sources.contracts import CODE_MAP, LOOKUPS, STAGING, LookupSpec
+from cadastra.sources.delimited import (
+    DelimitedScan, delimiter_by_names, project_typed, scan_delimited,
+)
 from cadastra.sources.lookups import load_lookup
 from cadastra.sources.polygons import centroids, read_polygons
 
@@ -573,6 +575,73 @@ def q_warehouse_build(spark, sf_dir):
     return _degrees_rounded(warehouse.read("dim_parcels"))
 
 
+def q_warehouse_facts(spark, sf_dir):
+    """The six facts from raw files, each column by its fill and its ends; columns hold unlike values."""
+    raw, warehouse, profiles = scratch_path(spark, "raw"), Warehouse(spark, scratch_path(spark, "facts")), None
+    for name in standins.FACTS:
+        spec = STAGING[name]
+        path = f"{raw}/{spec.file}"
+        standins.write_raw(standins.facts(spark, sf_dir, spec), spec, path, "|")
+        delimiter = delimiter_by_names(spark, path, [column for column, _, _ in spec.columns])
+        fact = name.replace("stg_", "fact_")
+        warehouse.publish(fact, project_typed(scan_delimited(spark, path, delimiter).kept, spec.columns))
+        held, columns = warehouse.read(fact), []
+        for _, out, kind in spec.columns:
+            number = F.col(out).cast("double") if kind not in ("string", "timestamp_ntz") else F.lit(None).cast("double")
+            text = F.col(out) if kind == "string" else (
+                F.date_format(out, "yyyy-MM-dd") if kind == "timestamp_ntz" else F.lit(None).cast("string"))
+            columns.append(F.struct(
+                F.lit(fact).alias("fact"), F.lit(out).alias("column_name"), F.count(out).alias("filled"),
+                F.min(number).alias("least"), F.max(number).alias("most"),
+                F.min(text).alias("first_text"), F.max(text).alias("last_text"),
+            ).alias(out))
+        profile = held.agg(*columns).select(F.inline(F.array(*[F.col(out) for _, out, _ in spec.columns])))
+        profiles = profile if profiles is None else profiles.unionByName(profile)
+    return profiles
+
+
+def q_warehouse_lookups(spark, sf_dir):
+    """All lookups from raw files: name, key, and the other columns as text."""
+    folder, parts, found = scratch_path(spark, "lookups"), table(spark, sf_dir, "part"), None
+    for spec in LOOKUPS.values():
+        raw = [F.expr(value) for value, _ in standins.lookup_values(spec)]
+        delimiter = spec.delimiter or ","
+        header = delimiter.join(name for name, _, _ in spec.columns)
+        standins.write_lines(parts.select(F.concat_ws(delimiter, *raw)), header, f"{folder}/{spec.file}")
+        loaded = load_lookup(spark, folder, spec)[0]
+        key, *others = [F.col(out).cast("string") for _, out, _ in spec.columns]
+        rows = loaded.select(
+            F.lit(spec.name).alias("lookup"), key.alias("key"), F.concat_ws("|", *others).alias("explained"))
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+def q_star_decode_all(spark, sf_dir):
+    """Every table of the code map decoded against its lookups, code by code."""
+    sizes = table(spark, sf_dir, "part").groupBy("p_size").agg(F.max("p_name").alias("name"))
+    lookups = {}
+    for name, spec in LOOKUPS.items():
+        (_, key, kind), *others = spec.columns
+        code = F.col("p_size").cast("string")
+        code = F.col("p_size").cast("int") if kind == "int" else F.lpad(code, 4, "0") if kind == "code4" else code
+        lookups[name] = stage(sizes.select(
+            code.alias(key), *[F.concat_ws(" ", F.lit(out), "name").alias(out) for _, out, _ in others]), "lookup")
+    customer, found = table(spark, sf_dir, "customer"), None
+    for name, codes in CODE_MAP.items():
+        coded = customer.select("c_custkey", *[
+            ((F.col("c_custkey") * (at + 1)) % 60).cast(
+                "int" if dict((o, k) for _, o, k in LOOKUPS[lookup].columns)[key] == "int" else "string"
+            ).alias(column) for at, (column, lookup, key) in enumerate(codes)
+        ])
+        decoded = decode_table(name, coded, lookups)
+        told = [c for c in decoded.columns if c not in coded.columns]
+        rows = decoded.select(
+            F.lit(name).alias("table_name"), "c_custkey",
+            F.concat_ws("|", *[F.coalesce(c, F.lit("-")) for c in told]).alias("decoded"))
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
 QUERIES: dict[str, Query] = {
     "scan_delimited": q_scan_delimited,
     "scan_rejected": q_scan_rejected,
@@ -624,4 +693,7 @@ QUERIES: dict[str, Query] = {
     "dim_build": dim_build,
     "dim_build_placed": q_dim_build_placed,
     "warehouse_build": q_warehouse_build,
+    "warehouse_facts": q_warehouse_facts,
+    "warehouse_lookups": q_warehouse_lookups,
+    "star_decode_all": q_star_decode_all,
 }

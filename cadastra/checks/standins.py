@@ -179,6 +179,51 @@ def _any_row(spec, source: DataFrame, key: str, number: str, text: str) -> DataF
     return _typed(source, spec.name, columns, {})
 
 
+FACTS = ("stg_bldg", "stg_land", "stg_misc", "stg_permit", "stg_sales", "stg_site")
+
+
+def fact_values(spec) -> dict[str, str]:
+    """An expression over the line table per column of a contract, no two columns alike.
+
+    The expressions mean the same in both engines that compare them.
+    """
+    values = {}
+    for at, (_, out, kind) in enumerate(spec.columns):
+        if out == "parcel_id":
+            values[out] = _pad("l_orderkey").replace("string", "varchar(20)")
+        elif kind == "string":
+            values[out] = f"concat('{out}-', cast(l_linenumber as varchar(9)))"
+        elif kind == "timestamp_ntz":
+            values[out] = f"l_shipdate + interval '{at}' day"
+        else:
+            part = {"int": "0", "double": "0.5"}.get(kind, "0.25")
+            values[out] = f"l_linenumber * 100 + {at} + {part}"
+    return values
+
+
+def facts(spark: SparkSession, sf_dir: str, spec) -> DataFrame:
+    return _typed(table(spark, sf_dir, "lineitem"), spec.name, fact_values(spec), {})
+
+
+def lookup_values(spec) -> list[tuple[str, str]]:
+    """Per column of a lookup, the raw text over the part table and what it must become."""
+    found = []
+    for at, (_, out, kind) in enumerate(spec.columns):
+        key, text = "cast(p_partkey as varchar(20))", f"concat('{out} ', cast(p_size as varchar(9)))"
+        if kind == "boolean":
+            found.append(("case when p_size % 2 = 0 then ' Y' else 'no' end",
+                          "case when p_size % 2 = 0 then 'true' else 'false' end"))
+        elif kind == "code4":
+            found.append((key, f"lpad({key}, 4, '0')"))
+        elif kind == "as written":
+            found.append((f"concat(' ', {text}, ' ')",) * 2)
+        elif at == 0:
+            found.append((key if kind == "int" else f"concat('  ', {key}, ' ')", key))
+        else:
+            found.append((f"concat(' ', {text}, '  ')", text))
+    return found
+
+
 def write_lines(lines: DataFrame, header: str, path: str) -> None:
     """Write text lines as files that each begin with the header line."""
     lines.toDF(header).write.option("header", True).option("quote", "").option(

@@ -245,3 +245,50 @@ def test_parcel_joins_shuffle_each_input_once(spark, no_broadcast):
     ]
     text = plan(parcel_base(*inputs, StudyRules(as_of="2001-08-01")))
     assert text.count("Exchange hashpartitioning(parcel_id") == 4
+
+
+def test_a_failed_rename_keeps_the_old_table(spark, monkeypatch):
+    warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
+    warehouse.publish("t", spark.range(10).toDF("n"))
+    moves, move = [], Warehouse._move
+
+    def failing(self, source, target):
+        moves.append((source, target))
+        return False if len(moves) == 2 else move(self, source, target)
+
+    monkeypatch.setattr(Warehouse, "_move", failing)
+    with pytest.raises(OSError, match="stays at"):
+        warehouse.replace("t", spark.range(3).toDF("n"))
+    assert len(moves) == 3 and warehouse.read("t").count() == 10
+
+
+class _Bare:
+    """A session of an installation whose defaults name no shared folder."""
+
+    def __init__(self, spark, master):
+        self.conf, self.sparkContext = self, type("Context", (), {"master": master})()
+        self.session, self.made = spark, {}
+
+    def get(self, key, default=None):
+        return default if key == "spark.checkpoint.dir" else self.session.conf.get(key, default)
+
+    def set(self, key, value):
+        self.made[key] = value
+        self.session.conf.set(key, value)
+
+
+def test_shared_folder_without_a_setting(spark):
+    bare = _Bare(spark, "local[2]")
+    try:
+        folder = shared_dir(bare)
+        assert folder == shared_dir(bare) == bare.made["cadastra.scratch.dir"]
+    finally:
+        spark.conf.unset("cadastra.scratch.dir")
+    with pytest.raises(ValueError, match="cadastra.scratch.dir"):
+        shared_dir(_Bare(spark, "spark://elsewhere:7077"))
+
+
+def test_values_are_attached_without_keys(spark):
+    left, one = spark.range(3).toDF("n"), spark.createDataFrame([(7, "x")], "a int, b string")
+    assert rows(attach(left, one, [])) == [(0, 7, "x"), (1, 7, "x"), (2, 7, "x")]
+    assert rows(attach(left, one.limit(0), [])) == [(0, None, None), (1, None, None), (2, None, None)]
