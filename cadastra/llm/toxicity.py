@@ -26,15 +26,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cadastra.llm.common import let, words_of
 from cadastra.shared import stage
 
 MAX_TRAIN = 20_000
 MAX_INDICATORS = 4_000
 # An indicator is kept if it is in so many toxic training texts at least.
 LEAST_TEXTS = 3
-# What counts is the lower bound of its log odds, so many standard errors below the estimate.
-CERTAINTY = 3.0
-LEAST_ODDS = 0.5
+# Its log odds, and twice the log likelihood ratio against no lean: 25 is one chance in two million.
+LEAST_ODDS = 1.5
+LEAST_EVIDENCE = 25.0
 LEXICON_VOTERS = 16
 PATTERN_VOTERS = 8
 ABSENCE_VOTERS = 4
@@ -43,6 +44,7 @@ HELD_OUT = 2
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 _BEGINNINGS = (4, 5, 6, 7, 8)
+_COUNTED = (5, 6, 7)
 _REMEMBERED = 200_000
 
 
@@ -56,16 +58,30 @@ def indicators_of(word: str) -> list[str]:
     return [word, *(word[:size] + "*" for size in _BEGINNINGS if len(word) >= size)]
 
 
+def repeated_of(word: str) -> list[str]:
+    """The beginnings of a word that are counted: several words with one are indicators of their own."""
+    return [word[:size] for size in _COUNTED if len(word) >= size]
+
+
 def indicators(text: str | None) -> set[str]:
-    """All indicators of a text, lower-cased."""
-    return {mark for word in set(_LETTERS.findall((text or "").lower())) for mark in indicators_of(word)}
+    """All indicators of a text, lower-cased: words, beginnings, and beginnings of two or three words."""
+    words = set(_LETTERS.findall((text or "").lower()))
+    found = {mark for word in words for mark in indicators_of(word)}
+    for start, n in Counter(start for word in words for start in repeated_of(word)).items():
+        if n > 1:
+            found.add(start + "**")
+        if n > 2:
+            found.add(start + "***")
+    return found
 
 
 def training_texts(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN) -> DataFrame:
     """(text, toxic) of at most ``most`` labelled rows outside the held-out remainder.
 
     A document with several labels is toxic if one of them says so; null labels and ids are left out.
-    The documents are not shuffled: the sample of ids is bounded and broadcast.
+    The documents are not shuffled: the sample of ids is bounded and broadcast. Of texts with one least
+    shingle hash, which copies and near copies share, one stays, so that the words of a text that was
+    copied a hundred times are no evidence.
     """
     known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where(
         "doc_id IS NOT NULL AND toxic IS NOT NULL"
@@ -73,11 +89,21 @@ def training_texts(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN) ->
     sample = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(
         F.xxhash64("doc_id"), "doc_id"
     ).limit(most)
-    return docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "toxic")
+    given = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "toxic")
+
+    def shingled(words: Column) -> Column:
+        windows = F.greatest(F.size(words) - 4, F.lit(0))
+        hashes = F.transform(
+            F.slice(words, F.lit(1), windows),
+            lambda word, at: F.xxhash64(word, words[at + 1], words[at + 2], words[at + 3], words[at + 4]))
+        return F.coalesce(F.array_min(hashes), F.xxhash64(words))
+
+    keyed = given.withColumn("least", let(words_of(F.lower("text")), shingled))
+    return keyed.groupBy("least").agg(F.min(F.struct("text", "toxic")).alias("one")).select("one.text", "one.toxic")
 
 
 def mined(texts: DataFrame, toxic_texts: int, clean_texts: int, most: int = MAX_INDICATORS) -> list[tuple[str, float]]:
-    """(indicator, lower bound of its log odds) of those that lean towards toxic texts, strongest first."""
+    """(indicator, log odds) of those that lean towards toxic texts, strongest first."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -94,9 +120,15 @@ def mined(texts: DataFrame, toxic_texts: int, clean_texts: int, most: int = MAX_
     counted = texts.select("text", "toxic").mapInArrow(count, "mark string, toxic long, clean long")
     summed = counted.groupBy("mark").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     odds = F.log((F.col("toxic") + 0.5) / (toxic_texts + 1)) - F.log((F.col("clean") + 0.5) / (clean_texts + 1))
-    error = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
-    sure = summed.where(F.col("toxic") >= LEAST_TEXTS).withColumn("odds", odds - CERTAINTY * error)
-    best = sure.where(F.col("odds") > LEAST_ODDS).orderBy(F.desc(F.col("odds") * F.sqrt("toxic")), "mark").limit(most)
+    share, both = toxic_texts / (toxic_texts + clean_texts), F.col("toxic") + F.col("clean")
+
+    def part(seen: Column, usual: float) -> Column:
+        return F.when(seen > 0, seen * F.log(seen / (both * usual))).otherwise(0.0)
+
+    evidence = 2 * (part(F.col("toxic"), share) + part(F.col("clean"), 1 - share))
+    sure = summed.where(F.col("toxic") >= LEAST_TEXTS).withColumns({"odds": odds, "evidence": evidence})
+    leaning = sure.where((F.col("odds") > LEAST_ODDS) & (F.col("evidence") > LEAST_EVIDENCE))
+    best = leaning.orderBy(F.desc("evidence"), "mark").limit(most)
     return [(row["mark"], row["odds"]) for row in best.collect()]
 
 
@@ -184,13 +216,13 @@ def fit_label_model(cast: np.ndarray, rounds: int = 30) -> LabelModel:
     return model
 
 
-def fit_linear(found: list[np.ndarray], belief: np.ndarray, kinds: int, rounds: int = 300) -> tuple[np.ndarray, float]:
+def fit_linear(found: list[np.ndarray], belief: np.ndarray, kinds: int, rounds: int = 1_500) -> tuple[np.ndarray, float]:
     """Weights and bias of logistic regression on presence of indicators, by adaptive gradients."""
     rows = np.repeat(np.arange(len(found)), [len(f) for f in found])
     places = np.concatenate(found) if len(rows) else np.zeros(0, np.int64)
     weight, bias = np.zeros(kinds), -2.0
     moved, moved_bias = np.full(kinds, 1e-6), 1e-6
-    shrink = 2e-5
+    shrink = 1e-6
     for _ in range(rounds):
         z = bias + np.bincount(rows, weight[places], len(found))
         error = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - belief
@@ -212,18 +244,24 @@ class ToxicityModel:
 
     def scorer(self):
         weights, bias, known = self.weights, self.bias, {}
+        counted = {mark.rstrip("*") for mark in weights if mark.endswith("**")}
 
         def score(text: str | None) -> float:
-            found = set()
+            found, starts = set(), []
             for word in set(_LETTERS.findall((text or "").lower())):
                 marks = known.get(word)
                 if marks is None:
-                    marks = tuple(m for m in indicators_of(word) if m in weights)
+                    marks = (tuple(m for m in indicators_of(word) if m in weights),
+                             tuple(s for s in repeated_of(word) if s in counted))
                     if len(known) >= _REMEMBERED:
                         known.clear()
                     if len(word) < 64:
                         known[word] = marks
-                found.update(marks)
+                found.update(marks[0])
+                starts += marks[1]
+            for start, n in Counter(starts).items():
+                several = [start + "**"] * (n > 1) + [start + "***"] * (n > 2)
+                found.update(mark for mark in several if mark in weights)
             total = bias + sum(weights[m] for m in sorted(found))
             return 1 / (1 + math.exp(-max(-50.0, min(50.0, total))))
 
