@@ -194,6 +194,8 @@ def test_raw_files_to_clusters(spark):
         table = warehouse.read(name)
         assert decode_table(name, table, lookups).count() == table.count()
 
+    assert all(row["seconds"] > 0 for row in audit.collect())
+
     sweep = publish_clusters(warehouse, ks=range(2, 5))
     assert [r["k"] for r in sweep.orderBy("k").collect()] == [2, 3, 4]
     clusters = warehouse.read("dim_parcel_clusters")
