@@ -22,7 +22,8 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 
 def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontamination.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    documents, benchmark = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    return decontamination.contaminated(documents, benchmark).drop("bits")
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,6 +106,54 @@ QUERIES: dict[str, Query] = {
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 ORACLES: dict[str, str] = {
+    "op1_benchmark_decontamination": rf"""
+        WITH items AS (
+            SELECT item_id, {_WORDS.replace('text', 'lower(text)')} AS words FROM benchmark
+        ), item_shingles AS (
+            SELECT item_id, len(words) - 4 AS size, words[pos:pos + 4] AS shingle, count(*) AS weight
+            FROM (SELECT *, unnest(range(1, len(words) - 3)) AS pos FROM items) GROUP BY ALL
+        ), split AS (
+            SELECT doc_id, {_WORDS.replace('text', 'lower(text)')} AS words FROM documents
+        ), shingles AS (
+            SELECT doc_id, len(words) - 4 AS total, pos - 1 AS pos, words[pos:pos + 4] AS shingle
+            FROM (SELECT *, unnest(range(1, len(words) - 3)) AS pos FROM split)
+        ), windows AS (
+            SELECT DISTINCT doc_id, item_id, size, pos AS first_word, least(size, total - pos) AS inside
+            FROM shingles JOIN item_shingles USING (shingle)
+        ), counted AS (
+            SELECT w.doc_id, item_id, size, first_word, inside, shingle, count(*) AS own
+            FROM windows w JOIN shingles s
+            ON s.doc_id = w.doc_id AND s.pos >= first_word AND s.pos < first_word + size GROUP BY ALL
+        ), shared AS (
+            SELECT doc_id, item_id, c.size, first_word, inside, sum(least(own, weight))::BIGINT AS common
+            FROM counted c JOIN item_shingles USING (item_id, shingle) GROUP BY ALL
+        ), scored AS (
+            SELECT doc_id, item_id, first_word, common / (inside + size - common) AS similarity
+            FROM shared WHERE 10 * common >= 8 * (inside + size - common)
+        )
+        SELECT doc_id, item_id, max(similarity) AS similarity,
+            arg_max(first_word, (similarity, -first_word))::INTEGER AS first_word
+        FROM scored GROUP BY doc_id, item_id
+    """,
+    "op4_substring_dedup": rf"""
+        WITH split AS (SELECT doc_id, {_WORDS} AS words FROM documents),
+        windows AS (
+            SELECT doc_id, pos, array_to_string(words[pos:pos + 19], ' ') AS part
+            FROM (SELECT *, unnest(range(1, len(words) - 18)) AS pos FROM split)
+        ), judged AS (
+            SELECT doc_id, pos, row_number() OVER (PARTITION BY part ORDER BY doc_id, pos) > 1 AS again FROM windows
+        ), gone AS (
+            SELECT DISTINCT doc_id, unnest(range(pos, pos + 20)) AS pos FROM judged WHERE again
+        ), listed AS (
+            SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS pos FROM split
+        ), kept AS (
+            SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY pos) AS text
+            FROM listed ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id
+        )
+        SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+            sha256(coalesce(text, '')) AS kept_sha256
+        FROM split LEFT JOIN kept USING (doc_id)
+    """,
     "op7_token_counts": r"""
         WITH counted AS (
             SELECT source, lang,

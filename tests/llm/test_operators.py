@@ -165,9 +165,10 @@ def test_repeated_bytes_are_those_of_all_strings(edge_docs, rows_given):
     same(tuples(suffix.digests(edge_docs)), plain.suffix(rows_given))
 
 
-def test_repeated_bytes_over_many_small_shards(edge_docs, rows_given):
+@pytest.mark.parametrize("crowd", [1, 2, 2_000])
+def test_repeated_bytes_over_many_small_shards(edge_docs, rows_given, crowd):
     found = suffix.without_repeats(
-        edge_docs, bucket_bytes=30_000, shard_bytes=3_000,
+        edge_docs, bucket_bytes=30_000, shard_bytes=3_000, crowd=crowd,
         emit=lambda kept: hashlib.sha256(kept).hexdigest(), kept="kept string")
     same(tuples(found), plain.suffix(rows_given))
 
