@@ -9,6 +9,7 @@ spares the rest of the corpus any further work.
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -19,10 +20,11 @@ MASK64 = (1 << 64) - 1
 _PLACE_BITS = 24
 _BLOCK = 1 << 23
 # The filter never grows beyond this; fuller, it lets more through and the exact counts drop it later.
-MOST_BITS = 1 << 27
+MOST_BITS = 1 << 28
 _SHIFTS = (0, 19, 37)
 
 
+@lru_cache(maxsize=16)
 def constants(count: int, seed: int) -> np.ndarray:
     """Odd 64-bit multipliers from a counter-based generator."""
     found, state = [], seed
@@ -105,7 +107,7 @@ def recurring(counts: DataFrame, most_bits: int = MOST_BITS) -> Recurring:
     """
     often = counts.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor").persist()
     try:
-        size = 1 << max(16, math.ceil(math.log2(16 * (often.count() + 1))))
+        size = 1 << max(16, math.ceil(math.log2(10 * (often.count() + 1))))
         size = min(size, most_bits)
         bits = [F.shiftrightunsigned("anchor", shift).bitwiseAND(size - 1) for shift in _SHIFTS]
         words = often.select(F.explode(F.array(*bits)).alias("bit")).groupBy(
