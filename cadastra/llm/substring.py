@@ -339,8 +339,10 @@ def without_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW, b
     at a smaller doc_id, or earlier in the document. Null ids come first. Rows with one doc_id and
     different texts are ordered by a hash of the text; rows equal in both count as one document and are
     treated alike. A null text has no words. Other columns are not read.
-    ``emit`` and ``schema`` replace the kept text by columns made from it.
+    ``emit`` and ``schema`` replace the kept text by columns made from it. A window has at least ``GRAM`` words.
     """
+    if window < max(GRAM, HEAD):
+        raise ValueError(f"a window of {window} words is shorter than the {max(GRAM, HEAD)} of its anchor")
     emit = emit or (lambda kept: [kept.decode()])
     schema = schema or "kept string"
     source = keyed(docs, text)

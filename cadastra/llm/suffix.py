@@ -313,8 +313,11 @@ def without_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, g
 
     A byte goes if a string of ``length`` bytes covers it that also starts anywhere else, the same document
     included; matches lie within documents. A null text counts as empty. Rows with equal doc_id and text are
-    repetitions of one another like any other two documents. Other columns are not read.
+    repetitions of one another like any other two documents. Other columns are not read. ``gram`` is a power of
+    two, and ``length`` leaves a core around it.
     """
+    if gram & (gram - 1) or length < gram + CLASS:
+        raise ValueError(f"length {length} or gram {gram} is out of range")
     emit = emit or bytes
     source = keyed(docs, text)
     known = recurring(_anchor_counts(source, length, gram))

@@ -173,6 +173,17 @@ def test_repeated_bytes_over_many_small_shards(edge_docs, rows_given, crowd):
     same(tuples(found), plain.suffix(rows_given))
 
 
+def test_other_windows_and_lengths(edge_docs, rows_given):
+    found = substring.without_repeats(
+        edge_docs, window=8, emit=lambda kept: [hashlib.sha256(kept).hexdigest()], schema="kept string")
+    same(tuples(found), plain.substring(rows_given, 8))
+    same(tuples(suffix.digests(edge_docs, length=150)), plain.suffix(rows_given, 150))
+    with pytest.raises(ValueError, match="shorter"):
+        substring.digests(edge_docs, window=3)
+    with pytest.raises(ValueError, match="out of range"):
+        suffix.digests(edge_docs, length=100)
+
+
 def test_no_documents_have_no_repeats(no_docs):
     assert substring.digests(no_docs).count() == 0
     assert suffix.digests(no_docs).count() == 0
