@@ -50,8 +50,6 @@ _PLACE = {name: {letter: at for at, letter in enumerate(alphabet)} for name, alp
 # Chance that two letters of ordinary prose agree: how far prose is from uniform in an alphabet.
 _PROSE_AGREEMENT = 0.065
 _HEX_AGREEMENT = 0.2
-# A single token below this p-value is never called random, whatever its class.
-_LEAST_P = 0.01
 _GRID = 0.25
 _DEEPEST = 48
 RATE = 0.01
@@ -173,7 +171,10 @@ def dismissal_levels(docs: DataFrame, text: str = "text", rate: float = RATE) ->
 
 
 def secret_spans(text: str, levels: dict[tuple[str, int], float]) -> list[tuple[int, int, str]]:
-    """(start, end, kind) of all secrets by start and kind; random tokens only outside the others."""
+    """(start, end, kind) of all secrets by start and kind; random tokens only outside the others.
+
+    A class without a level was not counted: its token is judged alone, which dismisses it at ``RATE``.
+    """
     lowered = text.lower()
     base = []
     if any(word in lowered for word in _KEYWORDS):
@@ -187,7 +188,7 @@ def secret_spans(text: str, levels: dict[tuple[str, int], float]) -> list[tuple[
     found = sorted(base)
     starts, reach = [s for s, _, _ in found], list(accumulate((e for _, e, _ in found), max))
     for start, end, encoding, size, p in tokens:
-        if end - start < _LEAST[encoding] or p <= max(_LEAST_P, levels.get((encoding, size), 0.0)):
+        if end - start < _LEAST[encoding] or p <= levels.get((encoding, size), RATE):
             continue
         before = bisect_left(starts, end)
         if not before or reach[before - 1] <= start:

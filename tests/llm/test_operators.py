@@ -235,6 +235,22 @@ def test_battery_tells_random_from_prose():
     assert not any(secrets.secret_spans(w, {}) for w in words)
 
 
+def test_levels_of_the_class_decide_on_a_token(spark):
+    rng = random.Random(7)
+    keys = ["".join(rng.choices(secrets.ALPHABETS["base64"], k=40)) for _ in range(2000)]
+    doubtful = [k for k in keys if 0.001 < secrets.battery(k, "base64") < 0.005]
+    assert len(doubtful) > 2
+
+    def reported(tokens):
+        docs = spark.createDataFrame(list(enumerate(tokens)), "doc_id long, text string")
+        return {tokens[r["doc_id"]] for r in secrets.scan_secrets(docs).collect() if r["spans"]}
+
+    among_keys = reported(keys)
+    assert len(among_keys) >= 1998 and set(doubtful) <= among_keys
+    among_words = reported(doubtful + ["thisIsAnOrdinaryNameOfSomeFunctionInCode"] * 5000)
+    assert not among_words
+
+
 def test_masked_texts(edge_docs, rows_given, no_docs):
     masked = secrets.mask_secrets(edge_docs)
     assert masked.schema == edge_docs.schema
