@@ -1,7 +1,7 @@
 """Secrets by pattern, and by a battery of randomness tests on long tokens.
 
 Every token of 20 or more key characters is tested for being random in the encoding its characters
-suggest: chi-squared uniformity over the alphabet, the runs test around its middle, and lag-one serial
+suggest, names and paths before a key parted from it where all together fit no encoding: chi-squared uniformity over the alphabet, the runs test around its middle, and lag-one serial
 correlation. The three p-values are combined into one. Within each class of encoding and length, the
 tokens that are *not* random are the discoveries of a Benjamini-Hochberg step at ``rate``, so at most
 that share of those dismissed are random. What is not dismissed is reported if its length gives the
@@ -33,7 +33,11 @@ _KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 # Runs are greedy and whole, so asking for 32 characters is the same as dropping shorter runs.
 _HEX = re.compile(r"[0-9a-f]{32,}")
-_TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+_SHORTEST = 20
+_TOKEN = re.compile(rf"[A-Za-z0-9+/_=-]{{{_SHORTEST},}}")
+# Padding stays with its part only at the end of a run; elsewhere '=' parts a name from its value.
+_VALUE = re.compile(r"[^=]+(?:=+\Z)?")
+_PARTS = (re.compile(r"[^+/]+"), re.compile(r"[^_-]+"))
 
 # Alphabets in order of preference: the first that holds all characters is taken.
 ALPHABETS = {
@@ -45,6 +49,7 @@ ALPHABETS = {
     "base36": "0123456789abcdefghijklmnopqrstuvwxyz",
     "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
     "base64url": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_",
+    "mixed": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_",
 }
 _PLACE = {name: {letter: at for at, letter in enumerate(alphabet)} for name, alphabet in ALPHABETS.items()}
 # Chance that two letters of ordinary prose agree: how far prose is from uniform in an alphabet.
@@ -60,7 +65,7 @@ def _tail(z: float) -> float:
 
 
 def encoding_of(token: str) -> str | None:
-    """The narrowest alphabet that holds the token without its padding; None if there is none."""
+    """The first alphabet that holds the token without its padding; None if there is none."""
     letters = set(token.rstrip("="))
     return next((name for name, places in _PLACE.items() if letters <= places.keys()), None)
 
@@ -117,6 +122,30 @@ def least_length(encoding: str) -> int | None:
 _LEAST = {name: least_length(name) for name in ALPHABETS}
 
 
+def parts_of(run: str) -> list[tuple[int, int, str]]:
+    """(start, end, encoding) of what is tested of a run of key characters, each of 20 or more.
+
+    A run is parted at inner '='. A part with letters of both base64 alphabets is parted at those of
+    the one and of the other, as either may join names to a key, so parts of the two may overlap; one that
+    has no long part is tested whole over all letters.
+    """
+    found = []
+    for value in _VALUE.finditer(run):
+        start, end = value.span()
+        if end - start < _SHORTEST:
+            continue
+        encoding = encoding_of(value[0])
+        if encoding != "mixed":
+            found.append((start, end, encoding))
+            continue
+        inner = {
+            (part.start() + start, part.end() + start): encoding_of(part[0])
+            for pattern in _PARTS for part in pattern.finditer(value[0]) if part.end() - part.start() >= _SHORTEST
+        }
+        found += [(*span, of) for span, of in sorted(inner.items())] or [(start, end, encoding)]
+    return found
+
+
 def _length_class(size: int) -> int:
     """Lengths by powers of the square root of two."""
     return int(2 * math.log2(size))
@@ -126,16 +155,18 @@ def tested_tokens(text: str) -> list[tuple[int, int, str, int, float]]:
     """(start, end, encoding, length class, p-value) of each long token in code points."""
     found = []
     for match in _TOKEN.finditer(text):
-        encoding = encoding_of(match[0])
-        if encoding and _LEAST[encoding] is not None:
-            found.append((match.start(), match.end(), encoding, _length_class(len(match[0])), battery(match[0], encoding)))
+        for start, end, encoding in parts_of(match[0]):
+            if _LEAST[encoding] is not None:
+                token = match[0][start:end]
+                at = match.start() + start
+                found.append((at, at + len(token), encoding, _length_class(len(token)), battery(token, encoding)))
     return found
 
 
 def dismissal_levels(docs: DataFrame, text: str = "text", rate: float = RATE) -> dict[tuple[str, int], float]:
     """Per class of encoding and length, the p-value up to which a token is dismissed as not random.
 
-    All documents are counted. The grid holds at most 8 encodings, some 40 length classes and 49 steps.
+    All documents are counted. The grid holds at most 9 encodings, some 40 length classes and 49 steps.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,15 +216,18 @@ def secret_spans(text: str, levels: dict[tuple[str, int], float]) -> list[tuple[
     # 32 hexadecimal digits lie in a long token, though not always in one that is tested.
     if tokens or _TOKEN.search(text):
         base += [(m.start(), m.end(), "hex") for m in _HEX.finditer(text)]
-    found = sorted(base)
+    found, random = sorted(base), []
     starts, reach = [s for s, _, _ in found], list(accumulate((e for _, e, _ in found), max))
     for start, end, encoding, size, p in tokens:
         if end - start < _LEAST[encoding] or p <= levels.get((encoding, size), RATE):
             continue
         before = bisect_left(starts, end)
-        if not before or reach[before - 1] <= start:
-            found.append((start, end, "random"))
-    return sorted(found, key=lambda span: (span[0], KINDS.index(span[2])))
+        if before and reach[before - 1] > start:
+            continue
+        if random and random[-1][1] > start:  # parts of one run, cut in two ways
+            start, end = random[-1][0], max(end, random.pop()[1])
+        random.append((start, end, "random"))
+    return sorted(found + random, key=lambda span: (span[0], KINDS.index(span[2])))
 
 
 def scan_secrets(docs: DataFrame, text: str = "text", rate: float = RATE) -> DataFrame:

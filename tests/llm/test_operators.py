@@ -251,6 +251,24 @@ def test_levels_of_the_class_decide_on_a_token(spark):
     assert not among_words
 
 
+def test_keys_behind_names_and_paths_are_found():
+    key = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYzEXAMPL3K9"
+    dashed = "q7Xz0-Lm4Tn_9bRw2Yc8Kd5Vh1Gs6Jf3Pa-Ue7Bo"
+    plain_key = "q7Xz0Lm4Tn9bRw2Yc8Kd5Vh1Gs6Jf3PaUe7BoNi5"
+    both = "q7X/z0Lm-4Tn+9bR_w2Yc/8Kd5-Vh1G+s6Jf_3PaU/e7Bo"
+    for before, secret in (("AWS_ACCESS_KEY=", key), ("STRIPE_KEY=", "sk_live_" + plain_key), ("/v1?sig=", plain_key),
+                           ("SIG=", key + "=="), ("ID=", dashed), ("ID=", both), ("a-long_name=of/this=", plain_key)):
+        text = f"so {before}{secret} it is"
+        start = 3 + len(before)
+        assert secrets.secret_spans(text, {}) == [(start, start + len(secret), "random")], text
+    for before, secret in (("path-parts/with-a/", plain_key), ("path-parts/with-a/", dashed), ("a/path/to-", key)):
+        (start, end, kind), = secrets.secret_spans(f"so {before}{secret} it is", {})
+        assert 3 <= start <= 3 + len(before) and end == 3 + len(before) + len(secret) and kind == "random"
+    for words in ("SOME_SETTING=another_ordinary_name_here", "path-parts/with-a/name_of_some_other-thing/in-it",
+                  "=" * 40, "a-b/" * 10, "-" * 20 + "=" * 5 + "-" * 20):
+        assert not secrets.secret_spans(words, {}), words
+
+
 def test_masked_texts(edge_docs, rows_given, no_docs):
     masked = secrets.mask_secrets(edge_docs)
     assert masked.schema == edge_docs.schema
