@@ -1,11 +1,13 @@
 """Secrets by pattern, and by a battery of randomness tests on long tokens.
 
 Every token of 20 or more key characters is tested for being random in the encoding its characters
-suggest, names and paths before a key parted from it where all together fit no encoding: chi-squared uniformity over the alphabet, the runs test around its middle, and lag-one serial
-correlation. The three p-values are combined into one. Within each class of encoding and length, the
-tokens that are *not* random are the discoveries of a Benjamini-Hochberg step at ``rate``, so at most
-that share of those dismissed are random. What is not dismissed is reported if its length gives the
-battery the power to dismiss ordinary words, so short tokens of few symbols never count as random.
+suggest; where all together fit no encoding, names and paths are parted from the key. The tests are
+chi-squared uniformity over the alphabet, the runs test around its middle, lag-one serial correlation
+and, for digits beside letters of one case, changes between the two. The p-values are combined into
+one. Within each class of encoding and length, the tokens that are *not* random are the discoveries of
+a Benjamini-Hochberg step at ``rate``, so at most that share of those dismissed are random. What is not
+dismissed is reported. Letters of one case alone are tested only at lengths that give the battery the
+power to dismiss ordinary words.
 
 The p-values of all documents are gathered as counts in a fixed grid per class, a bounded table. Texts
 are read twice and never shuffled.
@@ -55,6 +57,8 @@ _PLACE = {name: {letter: at for at, letter in enumerate(alphabet)} for name, alp
 # Chance that two letters of ordinary prose agree: how far prose is from uniform in an alphabet.
 _PROSE_AGREEMENT = 0.065
 _HEX_AGREEMENT = 0.2
+# Share of digits in the alphabets that hold them beside letters of one case.
+_DIGIT_SHARE = {"base32": 6 / 32, "base36": 10 / 36}
 _GRID = 0.25
 _DEEPEST = 48
 RATE = 0.01
@@ -100,9 +104,17 @@ def battery(token: str, encoding: str) -> float:
     if power:
         r = sum((a - middle) * (b - middle) for a, b in zip(body, body[1:])) / power
         serial = 2 * _tail(abs(r + 1 / size) * math.sqrt(size))
-    # Fisher: minus twice the sum of logs is chi-squared with six degrees of freedom.
-    half = -sum(math.log(max(p, 1e-300)) for p in (uniform, runs, serial))
-    return math.exp(-half) * (1 + half + half * half / 2) if half < 700 else 0.0
+    tests = [uniform, runs, serial]
+    if encoding in _DIGIT_SHARE:
+        # Words with a number in them change between letters and digits less often than chance does.
+        share = _DIGIT_SHARE[encoding]
+        both = share * (1 - share)
+        spread = (size - 1) * 2 * both * (1 - 2 * both) + 2 * (size - 2) * (both - 4 * both * both)
+        changes = sum(a.isdigit() != b.isdigit() for a, b in zip(token, token[1:size]))
+        tests.append(_tail(((size - 1) * 2 * both - changes - 0.5) / math.sqrt(spread)))
+    # Fisher: minus twice the sum of logs is chi-squared with two degrees of freedom for each test.
+    half = -sum(math.log(max(p, 1e-300)) for p in tests)
+    return math.exp(-half) * sum(half**k / math.factorial(k) for k in range(len(tests))) if half < 700 else 0.0
 
 
 def least_length(encoding: str) -> int | None:
@@ -122,6 +134,12 @@ def least_length(encoding: str) -> int | None:
 _LEAST = {name: least_length(name) for name in ALPHABETS}
 
 
+def _testable(token: str, encoding: str) -> bool:
+    """Whether not being dismissed says anything: of letters alone, as words are, only long tokens do."""
+    least = _LEAST[encoding]
+    return least is not None and (len(token) >= least or encoding in _DIGIT_SHARE and not token.rstrip("=").isalpha())
+
+
 def parts_of(run: str) -> list[tuple[int, int, str]]:
     """(start, end, encoding) of what is tested of a run of key characters, each of 20 or more.
 
@@ -156,8 +174,8 @@ def tested_tokens(text: str) -> list[tuple[int, int, str, int, float]]:
     found = []
     for match in _TOKEN.finditer(text):
         for start, end, encoding in parts_of(match[0]):
-            if _LEAST[encoding] is not None:
-                token = match[0][start:end]
+            token = match[0][start:end]
+            if _testable(token, encoding):
                 at = match.start() + start
                 found.append((at, at + len(token), encoding, _length_class(len(token)), battery(token, encoding)))
     return found
@@ -219,7 +237,7 @@ def secret_spans(text: str, levels: dict[tuple[str, int], float]) -> list[tuple[
     found, random = sorted(base), []
     starts, reach = [s for s, _, _ in found], list(accumulate((e for _, e, _ in found), max))
     for start, end, encoding, size, p in tokens:
-        if end - start < _LEAST[encoding] or p <= levels.get((encoding, size), RATE):
+        if p <= levels.get((encoding, size), RATE):
             continue
         before = bisect_left(starts, end)
         if before and reach[before - 1] > start:

@@ -269,6 +269,17 @@ def test_keys_behind_names_and_paths_are_found():
         assert not secrets.secret_spans(words, {}), words
 
 
+def test_short_keys_with_digits_are_found():
+    rng = random.Random(4)
+    for name in ("base36", "base32"):
+        for size in (20, 26, 32):
+            keys = ["".join(rng.choices(secrets.ALPHABETS[name], k=size)) for _ in range(300)]
+            keys = [key for key in keys if secrets.encoding_of(key) == name and not key.isalpha()]
+            assert sum(secrets.secret_spans(f"a {key} b", {}) == [(2, 2 + size, "random")] for key in keys) > 0.95 * len(keys)
+    for word in ("version2releasenotes2023", "img20231104customer01", "INTERNATIONALISATION", "THEREFOREUNDERSTANDING"):
+        assert not secrets.secret_spans(word, {}), word
+
+
 def test_masked_texts(edge_docs, rows_given, no_docs):
     masked = secrets.mask_secrets(edge_docs)
     assert masked.schema == edge_docs.schema
