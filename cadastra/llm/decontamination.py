@@ -1,13 +1,13 @@
-"""Benchmark passages in documents: SimHash windows of the items' sizes, then exact similarity.
+"""Benchmark passages in documents: windows of the items' sizes, exact similarity, SimHash distance.
 
 1. Windows. A window similar enough to an item shares most shingles with it, so shingles of documents
    are matched with those of the items. Moving a window right to its first shared shingle never lowers
    its similarity, so the windows that start at a shared shingle and hold the least number of shared
    ones the threshold implies are all that need a look. Windows end early at the end of a text.
-2. Search. Windows and items get SimHash fingerprints. Multi-index blocks find every item of the
-   window's size within ``radius`` bits: at similarity 0.8 the distance is about 9.7 bits with a
-   deviation of 2.9, so the default of 20 bits is over three and a half deviations away.
-3. Check. The weighted similarity of the shingle multisets, sum of least counts over sum of greatest.
+2. Check. The weighted similarity of the shingle multisets, sum of least counts over sum of greatest,
+   of every window listed for an item. No radius of fingerprints comes before it: windows of few or
+   repeated shingles reach the similarity at any distance.
+3. Distance. Windows and items get SimHash fingerprints; the bits between them are reported.
 
 Texts are read twice; what is shuffled grows with the matches, or with the shingles where the benchmark
 is too large for Spark's own broadcast threshold. Column expressions only.
@@ -19,13 +19,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadastra.llm.common import let, words_of
-from cadastra.llm.hamming import balls, entries, search_plan
 from cadastra.shared import stage
 
 SHINGLE = 5
 SIMILARITY = 0.8
-RADIUS = 20
-SEGMENTS = 8
 
 # Bit b is set if more than half of the hashes have it.
 _SIMHASH = """aggregate(sequence(0, 63), 0L, (print, b) -> print | if(
@@ -56,9 +53,7 @@ def _item_hashes(items: DataFrame, widths: list[int]) -> DataFrame:
     return items.where("width > 0").select("item_id", "width", hashes.alias("hashes"))
 
 
-def leaks(
-    docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS, segments: int = SEGMENTS
-) -> DataFrame:
+def leaks(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(digest, item_id, similarity, bits, first_word) of the best window per text and benchmark item.
 
     ``docs`` needs the column text, ``items`` item_id and text; others are not read. A text stands for
@@ -72,9 +67,11 @@ def leaks(
     widths = [row["width"] for row in worded.where("width > 0").select("width").distinct().collect()]
     known = stage(
         _item_hashes(worded, widths).withColumn("fp", F.expr(_SIMHASH))
-        .withColumn("version", F.xxhash64("item_id", "hashes")), "items",
+        .withColumn("version", F.xxhash64("item_id", "hashes")).dropDuplicates(["item_id", "version"]), "items",
+    )
+    sizes = known.select(
+        "item_id", "version", "width", F.size("hashes").alias("size"), F.col("fp").alias("item_fp")
     )
-    sizes = known.select("item_id", "version", "width", F.size("hashes").alias("size"))
     shingles = stage(
         known.select("item_id", "version", "width", F.explode("hashes").alias("h"))
         .groupBy("item_id", "version", "width", "h").agg(F.count(F.lit(1)).alias("weight")), "shingles",
@@ -105,9 +102,14 @@ def leaks(
     starts = let(F.sort_array("places"), lambda places: F.filter(
         places, lambda place, at: F.get(places, at + enough(place) - 1) < place + F.col("size")
     ))
+    window = ["digest", "width", "size", "start"]
+    pairs = stage(
+        per_item.select("digest", "width", "size", F.explode(starts).alias("start"), "item_id", "version", "item_fp"),
+        "pairs",
+    )
     wide = stage(
-        per_item.select("digest", "width", "size", F.explode(starts).alias("start")).distinct()
-        .groupBy("digest", "width", "size").agg(F.collect_list("start").alias("starts")), "windows",
+        pairs.select(*window).distinct().groupBy("digest", "width", "size").agg(F.collect_list("start").alias("starts")),
+        "windows",
     )
 
     # One text per digest; the windows' texts are few, and join by Spark's own size check.
@@ -124,21 +126,9 @@ def leaks(
         cut = windows if cut is None else cut.unionAll(windows)
     printed = stage(cut.withColumn("fp", F.expr(_SIMHASH)), "printed")
 
-    plan = search_plan(radius, segments)
-    probes = balls(entries(
-        known.select("item_id", "version", "width", F.size("hashes").alias("size"), F.col("fp").alias("item_fp")),
-        "item_fp", plan,
-    ), plan)
     bits = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))
-    near = entries(printed.select("digest", "width", "size", "start", "fp"), "fp", plan).join(
-        probes, ["segment", "key", "width", "size"]
-    ).where(bits <= radius).select(
-        "digest", "width", "size", "start", "item_id", "version", bits.alias("bits")
-    ).distinct()
-
-    window = ["digest", "width", "size", "start"]
-    weights = near.join(printed.select(*window, "hashes"), window).select(
-        *window, "item_id", "version", "bits", F.size("hashes").alias("inside"), F.explode("hashes").alias("h")
+    weights = pairs.join(printed, window).select(
+        *window, "item_id", "version", bits.alias("bits"), F.size("hashes").alias("inside"), F.explode("hashes").alias("h")
     ).groupBy(*window, "item_id", "version", "bits", "inside", "h").agg(F.count(F.lit(1)).alias("own"))
     common = weights.join(shingles, ["item_id", "version", "width", "h"]).groupBy(
         *window, "item_id", "version", "bits", "inside"

@@ -60,6 +60,20 @@ def test_leaks_are_those_of_all_windows(spark, edge_docs, rows_given):
     same([row["text"] for row in clean.collect()], [text for _, text in rows_given if text not in leaky])
 
 
+def test_windows_at_any_fingerprint_distance_are_found(spark):
+    rng, items, rows = random.Random(1), [], []
+    for at in range(200):
+        pair = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(2)]
+        items.append((at, " ".join(pair * 6 + ["x"])))
+        rows.append((at, " ".join(pair * 6 + ["y"])))
+    found = decontamination.contaminated(
+        spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    ).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["similarity"]) for r in found) == [(at, at, 0.8) for at in range(200)]
+    assert plain.leaks(rows[:3], items[:3]) == {(at, at): 0.8 for at in range(3)}
+    assert max(r["bits"] for r in found) > 20
+
+
 def test_no_documents_or_items_give_no_leaks(spark, edge_docs, no_docs):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontamination.contaminated(edge_docs, none).count() == 0
