@@ -8,7 +8,7 @@ for what they share beyond the class, their excess correlation. Its posterior la
 classifier over the indicators, which scores every whole text; labels, language and source are no inputs.
 
 Training texts are a bounded sample (``MAX_TRAIN`` labelled rows, by hash of doc_id), joined through a
-broadcast of their ids. Indicator counts are taken by Spark; the driver holds the votes and indicators
+broadcast of their ids. Indicator counts are taken by Spark; the driver holds the sketches, votes and indicators
 of the sample, bounded by ``MAX_TRAIN`` and ``MAX_INDICATORS``.
 """
 
@@ -36,6 +36,10 @@ LEAST_TEXTS = 3
 # Its log odds, and twice the log likelihood ratio against no lean: 25 is one chance in two million.
 LEAST_ODDS = 1.5
 LEAST_EVIDENCE = 25.0
+# Shares of equal shingle minima from which two training texts are near copies, and how they are looked up.
+ALIKE = 0.8
+MINIMA = 64
+BAND = 4
 LEXICON_VOTERS = 16
 PATTERN_VOTERS = 8
 ABSENCE_VOTERS = 4
@@ -79,9 +83,9 @@ def training_texts(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN) ->
     """(text, toxic) of at most ``most`` labelled rows outside the held-out remainder.
 
     A document with several labels is toxic if one of them says so; null labels and ids are left out.
-    The documents are not shuffled: the sample of ids is bounded and broadcast. Of texts with one least
-    shingle hash, which copies and near copies share, one stays, so that the words of a text that was
-    copied a hundred times are no evidence.
+    The documents are not shuffled: the sample of ids is bounded and broadcast. Of copies and near copies,
+    by :func:`alike`, one stays, so that the words of a text that was copied a hundred times are no evidence;
+    it is toxic if at least half of their labels say so. A passage in common merges no texts by itself.
     """
     known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where(
         "doc_id IS NOT NULL AND toxic IS NOT NULL"
@@ -96,10 +100,68 @@ def training_texts(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN) ->
         hashes = F.transform(
             F.slice(words, F.lit(1), windows),
             lambda word, at: F.xxhash64(word, words[at + 1], words[at + 2], words[at + 3], words[at + 4]))
-        return F.coalesce(F.array_min(hashes), F.xxhash64(words))
+        return F.when(F.size(words) > 4, hashes).otherwise(F.array(F.xxhash64(words)))
 
-    keyed = given.withColumn("least", let(words_of(F.lower("text")), shingled))
-    return keyed.groupBy("least").agg(F.min(F.struct("text", "toxic")).alias("one")).select("one.text", "one.toxic")
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [minima(row.values.to_numpy().view(np.uint64)) for row in batch.column("hashes")]
+            yield pa.RecordBatch.from_pydict({
+                "digest": batch.column("digest"), "n": batch.column("n"), "toxic": batch.column("toxic"),
+                "minima": pa.array([row.tobytes() for row in found], pa.binary()),
+            })
+
+    equal = stage(
+        given.groupBy(F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest")).agg(
+            F.min("text").alias("text"), F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic")
+        ), "equal",
+    )
+    table = equal.select(
+        "digest", "n", "toxic", let(words_of(F.lower("text")), shingled).alias("hashes")
+    ).mapInArrow(sketch, "digest string, n long, toxic long, minima binary").toArrow().sort_by("digest")
+    digests = table.column("digest").to_pylist()
+    first = alike(np.frombuffer(b"".join(table.column("minima").to_pylist()), np.uint64).reshape(-1, MINIMA))
+    rows, toxic = (np.bincount(first, table.column(name).to_numpy(), len(digests)) for name in ("n", "toxic"))
+    kept = [(digests[at], int(2 * toxic[at] >= rows[at])) for at in np.unique(first)]
+    kept = docs.sparkSession.createDataFrame(kept, "digest string, toxic int")
+    return equal.select("digest", "text").join(kept, "digest").select("text", "toxic")
+
+
+def minima(hashes: np.ndarray) -> np.ndarray:
+    """The least of the hashes under each of ``MINIMA`` orders."""
+    orders = np.random.default_rng(17).integers(0, 1 << 63, MINIMA, np.uint64) * np.uint64(2) + np.uint64(1)
+    least = np.full(MINIMA, np.iinfo(np.uint64).max)
+    for at in range(0, len(hashes), 1024):
+        mixed = hashes[at:at + 1024, None] * orders
+        mixed ^= mixed >> np.uint64(32)
+        np.minimum(least, (mixed * np.uint64(0x9E3779B97F4A7C15)).min(0), out=least)
+    return least
+
+
+def alike(sketches: np.ndarray) -> np.ndarray:
+    """Per row the first row of its group: rows that agree on ``ALIKE`` of their minima, and chains of such.
+
+    Rows are compared if all minima of one band are equal; at a similarity of 0.8 that misses one pair in 4,000.
+    """
+    parent = np.arange(len(sketches))
+
+    def root(at: int) -> int:
+        while parent[at] != at:
+            parent[at] = parent[parent[at]]
+            at = parent[at]
+        return at
+
+    for band in range(0, MINIMA, BAND):
+        keys = np.ascontiguousarray(sketches[:, band:band + BAND]).view(f"V{8 * BAND}").ravel()
+        order = np.argsort(keys, kind="stable")
+        ends = np.flatnonzero(np.append(keys[order][1:] != keys[order][:-1], True)) + 1
+        for members in np.split(order, ends[:-1]) if len(order) else []:
+            while len(members) > 1:
+                same = (sketches[members] == sketches[members[0]]).mean(1) >= ALIKE
+                for at in members[same][1:]:
+                    low, high = sorted((root(members[0]), root(at)))
+                    parent[high] = low
+                members = members[~same]
+    return np.array([root(at) for at in range(len(sketches))], np.int64)
 
 
 def mined(texts: DataFrame, toxic_texts: int, clean_texts: int, most: int = MAX_INDICATORS) -> list[tuple[str, float]]:
@@ -272,11 +334,12 @@ class ToxicityModel:
 def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN) -> ToxicityModel:
     """Mine indicators, estimate the label model, and train the classifier on its posteriors.
 
-    With no labelled training row, or none that is toxic, every text scores the prior.
+    With no indicator found, as without labelled rows of either kind, every text scores the prior, or half
+    the threshold if that is less: nothing tells the texts apart, so none is called toxic.
     """
     texts = stage(training_texts(docs, labels, most), "training")
     toxic, rows = texts.agg(F.count_if(F.col("toxic") > 0), F.count(F.lit(1))).first()
-    prior = (toxic + 0.5) / (rows + 10)
+    prior = min((toxic + 0.5) / (rows + 10), THRESHOLD / 2)
     empty = ToxicityModel({}, math.log(prior / (1 - prior)))
     if not toxic or toxic == rows:
         return empty

@@ -146,6 +146,33 @@ def test_toxicity_held_out_accuracy(spark):
     assert right / (right + counts.get((0, 1), 0)) > 0.8
 
 
+def test_training_texts_with_a_passage_in_common_stay_apart(spark):
+    rng = random.Random(6)
+    def words(n):
+        return ["".join(rng.choices("abcdefghij", k=7)) for _ in range(n)]
+    passage = words(100)
+    made = [passage + words(100) for _ in range(40)]
+    original = words(200)
+    near = [original[:at] + ["changed"] + original[at + 1:] for at in range(0, 40, 4)]
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 != 2]
+    texts = [" ".join(t) for t in made + near + [original] * 5] + ["two words", "two words", "", None]
+    docs = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, at % 2) for at, i in enumerate(ids[:40])]
+                                   + [(i, 1) for i in ids[40:52]] + [(i, 0) for i in ids[52:len(texts)]],
+                                   "doc_id long, toxic int")
+    kept = [(r["text"], r["toxic"]) for r in toxicity.training_texts(docs, labels).collect()]
+    assert sorted(t for t in kept if t[0] in texts[:40]) == sorted((t, at % 2) for at, t in enumerate(texts[:40]))
+    rest = [t for t in kept if t[0] not in texts[:40]]
+    assert len(rest) == 3 and [label for text, label in rest if text and len(text) > 100] == [1]
+
+
+def test_toxicity_without_indicators_drops_nothing(spark):
+    docs = spark.createDataFrame([(i, f"word{i} alone") for i in range(60)] + [(60, ""), (61, None)], "doc_id long, text string")
+    for toxic in (lambda i: 1, lambda i: i % 2):
+        labels = spark.createDataFrame([(i, toxic(i)) for i in range(60)], "doc_id long, toxic int")
+        assert {row["predicted"] for row in toxicity.score_documents(docs, labels).collect()} == {0}
+
+
 def test_toxicity_without_labels(spark, edge_docs, no_docs):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert {row["predicted"] for row in toxicity.score_documents(edge_docs, none).collect()} == {0}
