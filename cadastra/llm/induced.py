@@ -8,7 +8,8 @@ its common prefix with the one before, and is popped in stretches none of whose
 so each stretch is a handful of array operations. Common prefixes are induced along: one more than the
 least among the sources' in between. They are cut at ``cap``.
 
-Texts, types, queues and prefixes larger than ``IN_MEMORY`` symbols live in memory-mapped files.
+Types, queues and prefixes larger than ``IN_MEMORY`` symbols live in memory-mapped files. The leftmost S
+suffixes, up to half of all, with their names, lengths and common prefixes are arrays in memory.
 """
 
 from __future__ import annotations

@@ -7,7 +7,7 @@
    core with a different piece are left, and of these the windows that share a finer core of 385 bytes:
    one text each is cut out and dealt to a shard by its core.
 3. A shard's suffix array and common prefixes come from induced sorting on disk (:mod:`induced`), whose
-   memory does not grow with the shard. A window repeats if it has 400 bytes in common with a neighbour.
+   memory still grows with the shard, by some 23 bytes a byte. A window repeats if it has 400 bytes in common with a neighbour.
    The windows of a core with thousands of different pieces are counted instead, spread over all tasks.
 4. Every occurrence of a repeated window is removed; windows are judged on the input.
 
