@@ -475,6 +475,21 @@ def test_order_of_rules_changes_no_verdict(edge_docs):
     assert sorted(r.name for r in ordered) == sorted(r.name for r in rules)
 
 
+def test_rules_are_judged_and_skipped_by_their_raw_conditions(edge_docs):
+    docs, yes, no = edge_docs.select("doc_id", "text"), F.lit(True), F.lit(False)
+    rules = [quality.Rule("never", yes, no), quality.Rule("always", no, yes)]
+    assert [r.name for r in quality.ordered_by_yield(docs, rules)] == ["always", "never"]
+    fails = quality.Rule("fails", no, F.raise_error(F.lit("reached")).cast("boolean"))
+    assert docs.where(quality.cascade([rules[1], fails], raw=True) != "always").count() == 0
+    whole = quality.apply_rules(edge_docs).select("doc_id", "kept")
+    same(tuples(quality.verdicts(edge_docs).select("doc_id", "kept")), tuples(whole))
+    same(tuples(quality.verdicts(edge_docs, [quality.Rule("old", F.col("n_words") < 0)]).select("doc_id", "kept")),
+         tuples(quality.apply_rules(edge_docs, []).select("doc_id", "kept")))
+    measured = quality.measured(docs)
+    for name in quality.MEASURES:
+        assert measured.where(~F.col(name).eqNullSafe(quality.measure(name))).count() == 0
+
+
 def test_quality_of_no_documents(no_docs):
     assert quality.apply_rules(no_docs).count() == 0
 
