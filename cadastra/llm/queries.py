@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadastra.llm import bpe, decontamination, quality, secrets, sharding, simhash, substring, suffix, token_counts, toxicity
+from cadastra.llm import (
+    alignment, bpe, byte_bpe, decontamination, quality, secrets, sharding, simhash, spelling, substring, suffix,
+    token_counts, toxicity,
+)
 from cadastra.llm.common import read_table
 from cadastra.shared import scratch_path, stage
 
@@ -90,6 +93,20 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.digests(read_table(spark, sf_dir, "documents"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = tokenizer_path("byte_bpe_multi_50k.tiktoken")
+    return byte_bpe.digest_documents(read_table(spark, sf_dir, "documents"), ranks)
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    return alignment.digests(read_table(spark, sf_dir, "documents"), a, b)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_bpe": op2_bpe,
@@ -101,6 +118,9 @@ QUERIES: dict[str, Query] = {
     "op8_sharding": op8_sharding,
     "op9_quality_rules": op9_quality_rules,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
+    "op11_byte_bpe": op11_byte_bpe,
+    "op12_tokenizer_alignment": op12_tokenizer_alignment,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"

@@ -167,3 +167,113 @@ def by_key(pairs):
     for key, value in pairs:
         found[key].append(value)
     return found
+
+
+def byte_bpe(text, ranks, pattern):
+    """Ids of a text: pieces whole if they are tokens, else the least rank first, leftmost of equals."""
+    found = []
+    for piece in pattern.findall(text or ""):
+        data = piece.encode()
+        parts = [data] if data in ranks else [bytes([b]) for b in data]
+        while len(parts) > 1:
+            of_pairs = [ranks.get(a + b, 1 << 60) for a, b in zip(parts, parts[1:])]
+            at = of_pairs.index(min(of_pairs))
+            if of_pairs[at] == 1 << 60:
+                break
+            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+        found += [ranks[part] for part in parts]
+    return found
+
+
+def aligned(rows, a, a_bytes, b, b_bytes):
+    """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, digest) from whole texts and all overlaps."""
+
+    def spans(ids, bytes_of):
+        at, found = 0, []
+        for number in ids:
+            found.append((number, at, at + len(bytes_of[number])))
+            at = found[-1][2]
+        return found, b"".join(bytes_of[i] for i in ids)
+
+    docs = []
+    for doc_id, text in rows:
+        tokens_a = tokens_b = ()
+        if text:
+            tokens_a, joined_a = spans(a.encode(" " + text, add_special_tokens=False).ids, a_bytes)
+            tokens_b, joined_b = spans(b.encode(text), b_bytes)
+            if not joined_a == joined_b == (" " + text).encode():
+                tokens_a = tokens_b = ()
+        links, first = [], 0
+        for i, start, end in tokens_a:
+            while first < len(tokens_b) and tokens_b[first][2] <= start:
+                first += 1
+            at = first
+            while at < len(tokens_b) and tokens_b[at][1] < end:
+                links.append((i, tokens_b[at][0]))
+                at += 1
+        docs.append((doc_id, tokens_a, tokens_b, links))
+    counts = Counter(link for *_, links in docs for link in links)
+    most = defaultdict(int)
+    for (_, of_b), n in counts.items():
+        most[of_b] = max(most[of_b], n)
+    found = []
+    for doc_id, tokens_a, tokens_b, links in docs:
+        cuts = sorted({t[2] for t in tokens_a} & {t[2] for t in tokens_b})
+        sides = []
+        for tokens in (tokens_a, tokens_b):
+            grouped, at = [[] for _ in cuts], 0
+            for i, _, end in tokens:
+                grouped[at].append(str(i))
+                at += end == cuts[at]
+            sides.append([",".join(group) for group in grouped])
+        shown = ";".join(f"{x}|{y}" for x, y in zip(*sides))
+        found.append((
+            doc_id, len(tokens_a), len(tokens_b), len(cuts), len(links),
+            sum(counts[link] == most[link[1]] for link in links), sum(counts[link] for link in links),
+            hashlib.sha256(shown.encode()).hexdigest() if tokens_a else "",
+        ))
+    return found
+
+
+def one_edit(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    if len(b) - len(a) > 1 or a == b:
+        return False
+    at = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
+    return a[at + (len(a) == len(b)):] == b[at + 1:]
+
+
+def spelling(rows, every=31, least=7, twice=2, factor=10):
+    """(word, form, root, n, n_near, form_n) by comparing all pairs of words."""
+    import zlib
+
+    counts = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = re.sub("[A-Z]", lambda m: m[0].lower(), run)
+            check = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if check % every == 0:
+                at = check % len(run)
+                run = run[:at] + run[at + 1:]
+            counts[run] += 1
+    counts = {word: n for word, n in counts.items() if len(word) >= least and n >= twice}
+    near = defaultdict(list)
+    listed = sorted(counts)
+    for at, a in enumerate(listed):
+        for b in listed[:at]:
+            if abs(len(a) - len(b)) < 2 and one_edit(a, b):
+                near[a].append(b)
+                near[b].append(a)
+    form = {}
+    for word, others in near.items():
+        best = min(others, key=lambda other: (-counts[other], other))
+        if counts[best] >= factor * counts[word]:
+            form[word] = best
+
+    def root(word):
+        while word in form:
+            word = form[word]
+        return word
+
+    return [(w, form.get(w), root(w), counts[w], len(near[w]), counts.get(form.get(w))) for w in listed]

@@ -30,7 +30,7 @@ def test_query_gives_rows(spark, name):
 
 
 def test_one_query_per_operator():
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 14)]
 
 
 def test_plain_versions(spark, given):
