@@ -18,6 +18,7 @@ from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
+from typing import Generic, TypeVar
 
 import numpy as np
 import pyarrow as pa
@@ -27,12 +28,33 @@ from pyspark.sql import DataFrame
 
 # Characters of text whose distinct pieces are replayed together.
 BLOCK_CHARS = 8 << 20
-# Pieces remembered per worker from one block to the next; beyond it the memory is emptied and fills anew.
+# Pieces remembered per worker from one block to the next: at most twice as many.
 REMEMBERED = 200_000
 LONG_PIECE = 256
 # Fixed value: the pattern of these vocabularies, which parts a text into pieces.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+_SINGLE = [bytes([byte]) for byte in range(256)]
+Value = TypeVar("Value")
+
+
+class Remembered(Generic[Value]):
+    """What was last put in or asked for, in two generations: when the new one is full, the old one is dropped."""
+
+    def __init__(self, size: int):
+        self.size, self.new, self.old = size, {}, {}
+
+    def get(self, key: str) -> Value | None:
+        found = self.new.get(key)
+        if found is None and (found := self.old.get(key)) is not None:
+            self.put(key, found)
+        return found
+
+    def put(self, key: str, value: Value) -> None:
+        if len(self.new) >= self.size:
+            self.new, self.old = {}, self.new
+        self.new[key] = value
+
 
 class Numbered(dict):
     """Numbers its keys in the order in which they are first asked for."""
@@ -62,7 +84,7 @@ class Splitter:
 
     def __init__(self, pattern: str):
         everything = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
-        single = {bytes([byte]): byte for byte in range(256)}
+        single = {byte: at for at, byte in enumerate(_SINGLE)}
         exact, differing = pattern, set()
         for name in (r"\p{L}", r"\p{N}", r"\s"):
             if name not in pattern:
@@ -77,11 +99,20 @@ class Splitter:
         self.plain = regex.compile(pattern).findall
         self.exact = regex.compile("(?V1)" + exact).findall
         self.differs = regex.compile(f"[{_class_ranges(differing)}]" if differing else "(?!)").search
+        self.latin = min(differing, default=0x110000) > 0xFF
+
+    def _certain(self, text: str) -> bool:
+        """Whether both tables know all characters of the text alike."""
+        if self.latin:
+            try:
+                text.encode("latin-1")
+                return True
+            except UnicodeEncodeError:
+                pass
+        return not self.differs(text)
 
     def __call__(self, text: str) -> list[str]:
-        if text.isascii() or not self.differs(text):
-            return self.plain(text)
-        return self.exact(text)
+        return self.plain(text) if self._certain(text) else self.exact(text)
 
 
 class ByteBpe:
@@ -92,10 +123,9 @@ class ByteBpe:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
         self.bytes_of = {rank: token for token, rank in self.ranks.items()}
         self.split = Splitter(pattern)
-        self.first = np.array([self.ranks[bytes([byte])] for byte in range(256)], np.int64)
         pairs = (self.ranks.get(bytes([a, b]), -1) for a in range(256) for b in range(256))
         self.first_pairs = np.fromiter(pairs, np.int64, 1 << 16)
-        self.known: dict[str, array] = {}
+        self.known: Remembered[array] = Remembered(REMEMBERED)
 
     def replay(self, words: list[bytes]) -> list[array]:
         """The ids of every word, by applying all merges to all words in rank order."""
@@ -104,40 +134,38 @@ class ByteBpe:
         ends = np.cumsum(sizes)
         codes = np.frombuffer(data, np.uint8).astype(np.int64)
         word_of = np.repeat(np.arange(len(words)), sizes).tolist()
-        symbol = self.first[codes].tolist()
         after = np.arange(1, len(codes) + 1)
         before = np.arange(-1, len(codes) - 1)
         after[ends[sizes > 0] - 1] = -1
         before[(ends - sizes)[sizes > 0]] = -1
-        places = self._first_index(codes, after)
-        after, before = after.tolist(), before.tolist()
+        # The rank of the pair that now begins at a position, or -1; what is listed under another is out of date.
+        places, now = self._first_index(codes, after)
+        after, before, now = after.tolist(), before.tolist(), now.tolist()
+        part = list(map(_SINGLE.__getitem__, data))
         rank_of, bytes_of = self.ranks.get, self.bytes_of
         heap = list(places)
         heapify(heap)
         while heap:
             rank = heappop(heap)
-            listed = places.pop(rank, None)
-            if listed is None:
-                continue
+            listed = places.pop(rank)
+            listed.sort()
             made = bytes_of[rank]
             # In a word where a merge made a pair of lower rank, that pair goes first.
             held, later = set(), []
-            for at in sorted(listed):
-                left = symbol[at]
-                if left < 0:
-                    continue
-                other = after[at]
-                if other < 0 or bytes_of[left] + bytes_of[symbol[other]] != made:
+            for at in listed:
+                if now[at] != rank:
                     continue
                 if held and word_of[at] in held:
                     later.append(at)
                     continue
-                symbol[at], symbol[other] = rank, -1
+                other = after[at]
                 beyond = after[at] = after[other]
+                part[at], part[other], now[other] = made, None, -1
+                found = -1
                 if beyond >= 0:
                     before[beyond] = at
-                    found = rank_of(made + bytes_of[symbol[beyond]])
-                    if found is not None:
+                    found = rank_of(made + part[beyond], -1)
+                    if found >= 0:
                         if found in places:
                             places[found].append(at)
                         else:
@@ -145,10 +173,11 @@ class ByteBpe:
                             heappush(heap, found)
                         if found < rank:
                             held.add(word_of[at])
+                now[at] = found
                 ahead = before[at]
                 if ahead >= 0:
-                    found = rank_of(bytes_of[symbol[ahead]] + made)
-                    if found is not None:
+                    found = now[ahead] = rank_of(part[ahead] + made, -1)
+                    if found >= 0:
                         if found in places:
                             places[found].append(ahead)
                         else:
@@ -160,23 +189,24 @@ class ByteBpe:
                 if rank not in places:
                     heappush(heap, rank)
                 places.setdefault(rank, []).extend(later)
-        begin, found = 0, []
+        begin, ids = 0, []
         for end in ends.tolist():
-            found.append(array("i", [s for s in symbol[begin:end] if s >= 0]))
+            ids.append(array("i", [self.ranks[token] for token in part[begin:end] if token]))
             begin = end
-        return found
+        return ids
 
-    def _first_index(self, codes: np.ndarray, after: np.ndarray) -> dict[int, list[int]]:
-        """Positions of all mergeable pairs of single bytes, by rank."""
+    def _first_index(self, codes: np.ndarray, after: np.ndarray) -> tuple[dict[int, list[int]], np.ndarray]:
+        """Positions of all mergeable pairs of single bytes, by rank, and the rank at every position."""
+        now = np.full(len(codes), -1, np.int64)
         inner = np.flatnonzero(after >= 0)
         if not len(inner):
-            return {}
-        ranks = self.first_pairs[codes[inner] << 8 | codes[inner + 1]]
-        inner, ranks = inner[ranks >= 0], ranks[ranks >= 0]
-        order = np.argsort(ranks, kind="stable")
-        inner, ranks = inner[order], ranks[order]
+            return {}, now
+        now[inner] = self.first_pairs[codes[inner] << 8 | codes[inner + 1]]
+        inner = np.flatnonzero(now >= 0)
+        inner = inner[np.argsort(now[inner], kind="stable")]
+        ranks = now[inner]
         starts = np.flatnonzero(np.diff(ranks, prepend=-1))
-        return dict(zip(ranks[starts].tolist(), map(np.ndarray.tolist, np.split(inner, starts[1:]))))
+        return dict(zip(ranks[starts].tolist(), map(np.ndarray.tolist, np.split(inner, starts[1:])))), now
 
     def solve(self, pieces: Iterable[str]) -> list[array]:
         """The ids of each piece: a piece that is a token is that token, all others are replayed together."""
@@ -187,15 +217,15 @@ class ByteBpe:
             if ids is None:
                 whole = self.ranks.get(piece.encode())
                 if whole is None:
-                    fresh.append(at)
+                    fresh.append((piece.encode(), at))
                 else:
                     found[at] = array("i", [whole])
-        for at, ids in zip(fresh, self.replay([pieces[at].encode() for at in fresh])):
+        # Sorted, so that the positions of a pair lie near one another in memory.
+        fresh.sort()
+        for (_, at), ids in zip(fresh, self.replay([word for word, _ in fresh])):
             found[at] = ids
             if len(pieces[at]) <= LONG_PIECE:
-                if len(self.known) >= REMEMBERED:
-                    self.known.clear()
-                self.known[pieces[at]] = ids
+                self.known.put(pieces[at], ids)
         return found
 
     def decode(self, ids: Iterable[int]) -> bytes:

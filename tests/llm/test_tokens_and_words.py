@@ -65,7 +65,7 @@ def test_replay_keeps_the_order_of_ranks_in_each_word():
     made = object.__new__(byte_bpe.ByteBpe)
     made.ranks = {bytes([b]): b for b in range(256)} | {b"ab": 900, b"abc": 300, b"ca": 400, b"bb": 950, b"aa": 960}
     made.bytes_of = {rank: token for token, rank in made.ranks.items()}
-    made.first, made.known = bpe.first * 0 + range(256), {}
+    made.known = byte_bpe.Remembered(50)
     made.first_pairs = bpe.first_pairs * 0 - 1
     for pair in (b"ab", b"ca", b"bb", b"aa"):
         made.first_pairs[pair[0] << 8 | pair[1]] = made.ranks[pair]
