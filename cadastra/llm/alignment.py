@@ -20,8 +20,9 @@ import hashlib
 import os
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -31,47 +32,56 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadastra.llm.bpe import byte_letters
-from cadastra.llm.byte_bpe import Numbered
+from cadastra.llm.byte_bpe import Numbered, Remembered
 from cadastra.shared import stage
 
 # Characters of text whose chunks are aligned and counted together.
 BLOCK_CHARS = 8 << 20
-# Chunks remembered per worker from one block to the next; beyond it the memory is emptied and fills anew.
-REMEMBERED = 100_000
+# Chunks remembered per worker from one block to the next: at most twice as many.
+REMEMBERED = 200_000
 LONG_CHUNK = 256
-# A space and all up to the next space that follows no white space and ends no text.
-_CHUNKS = re.compile(r" (?:[^ ]+|(?<=\s) | \Z)*")
+# Chunks handed to the libraries as one text.
+_JOINED = 200
+# All up to the next space that follows no white space and ends no text; for texts with other spaces.
+_CHUNKS = re.compile(r" ((?:[^ ]+|(?<=\s) | \Z)*)")
+_ODD_SPACE = re.compile(r"\s |\A | \Z").search
 _SPACE = "▁"
 _PAIR = 32
 _LOW = (1 << _PAIR) - 1
 
 
-class Aligned:
-    """One chunk: ids and end bytes of the tokens of both sides; ``sound`` if both give its bytes back."""
+class Chunk(NamedTuple):
+    """What one chunk adds to its texts: its groups as text, its links, and how many there are of each."""
 
-    __slots__ = ("a", "a_ends", "b", "b_ends", "links", "n_groups", "shown", "sound")
+    shown: str
+    links: bytes
+    n_a: int
+    n_b: int
+    n_groups: int
+    sound: bool
 
-    def __init__(self, a, a_ends, b, b_ends, sound):
-        self.a, self.a_ends, self.b, self.b_ends, self.sound = array("i", a), a_ends, array("i", b), b_ends, sound
-        self.links, self.n_groups, self.shown = array("q"), 0, ""
-        if sound:
-            self._join()
 
-    def _join(self) -> None:
-        """Walk both rows of ends: a link per overlap, a group up to each common end."""
-        i = j = first_a = first_b = 0
-        groups, a, b, a_ends, b_ends = [], self.a, self.b, self.a_ends, self.b_ends
-        while i < len(a):
-            self.links.append(a[i] << _PAIR | b[j])
-            end_a, end_b = a_ends[i], b_ends[j]
-            if end_a <= end_b:
-                i += 1
-            if end_b <= end_a:
-                j += 1
-            if end_a == end_b:
-                groups.append(f"{','.join(map(str, a[first_a:i]))}|{','.join(map(str, b[first_b:j]))}")
-                first_a, first_b = i, j
-        self.n_groups, self.shown = len(groups), ";".join(groups)
+UNSOUND = Chunk("", b"", 0, 0, 0, False)
+
+
+class Spans(NamedTuple):
+    """Ids and end bytes of the tokens of both sides of a space and a text."""
+
+    a: np.ndarray
+    a_ends: np.ndarray
+    b: np.ndarray
+    b_ends: np.ndarray
+
+
+def _refined(cuts: np.ndarray, sizes: np.ndarray, inside: np.ndarray) -> np.ndarray:
+    """The libraries' cuts, but inside a character those of the decoded bytes since the last cut."""
+    if not inside.any():
+        return cuts
+    decoded = np.cumsum(sizes)
+    at = np.where(inside, 0, np.arange(1, len(cuts) + 1))
+    last = np.maximum.accumulate(at)
+    base = np.concatenate([[0], cuts])[last] - np.concatenate([[0], decoded])[last]
+    return np.where(inside, base + decoded, cuts)
 
 
 class Aligner:
@@ -89,60 +99,109 @@ class Aligner:
         # Markers in a text are ordinary text.
         self.a.encode_special_tokens = True
         letters = {letter: byte for byte, letter in byte_letters().items()}
-        self.a_bytes = {
-            number: bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
-            for token, number in self.a.get_vocab(with_added_tokens=False).items()
-        }
+        vocabulary = self.a.get_vocab(with_added_tokens=False)
+        self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
+        for token, number in vocabulary.items():
+            self.a_bytes[number] = bytes(letters[letter] for letter in token)
         self.b = SentencePieceProcessor(model_file=b_path)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        fallback = [self.b.is_byte(i) for i in range(len(pieces))]
         self.b_bytes = [
-            bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace(_SPACE, " ").encode()
-            for i, piece in enumerate(pieces)
+            bytes([int(piece[3:5], 16)]) if byte else piece.replace(_SPACE, " ").encode()
+            for piece, byte in zip(pieces, fallback)
         ]
-        joins = any(re.search(f"[^{_SPACE}]{_SPACE}", piece) for piece in pieces)
-        self.cut = (lambda spaced: [spaced]) if joins else _CHUNKS.findall
-        self.known: dict[str, Aligned] = {}
-
-    def _refined(self, tokens: list[bytes], coarse: list[int], data: bytes) -> tuple[array, bool]:
-        """End bytes of the tokens: the library's cut, or the decoded bytes' where it lies inside a character.
-
-        Not sound if the tokens' bytes are not those of the text.
-        """
-        ends, at = array("q"), 0
-        for token, cut in zip(tokens, coarse):
-            at += len(token)
-            # A cut past the decoded bytes ends the character that this token only begins.
-            ends.append(cut if cut == at else at)
-        return ends, b"".join(tokens) == data
-
-    def align(self, spaced: str) -> Aligned:
-        """A chunk that begins with the space that both sides put before a text."""
+        self.fallback = np.array(fallback)
+        self.a_sizes, self.b_sizes = (np.array(list(map(len, t)), np.int64) for t in (self.a_bytes, self.b_bytes))
+        self.a_shown, self.b_shown = (
+            {end: np.array([f"{i}{end}" for i in range(len(t))], object) for end in ends}
+            for t, ends in ((self.a_bytes, ",|"), (self.b_bytes, (",", ";", "")))
+        )
+        self.joins = any(re.search(f"[^{_SPACE}]{_SPACE}", piece) for piece in pieces)
+        self.known: Remembered[Chunk] = Remembered(REMEMBERED)
+
+    def chunks(self, text: str) -> list[str]:
+        """The chunks of a text, each without its first space; none for an empty text."""
+        if not text:
+            return []
+        if self.joins:
+            return [text]
+        return _CHUNKS.findall(" " + text) if _ODD_SPACE(text) else text.split(" ")
+
+    def spans(self, text: str) -> Spans | None:
+        """Tokens of a text; none if those of either side do not give a space and the text back."""
+        spaced = " " + text
         data = spaced.encode()
-        # Byte at which each character ends, and which the character offsets of A point into.
-        plain = len(data) == len(spaced)
-        byte_at = range(len(data) + 1) if plain else [0, *np.cumsum([len(c.encode()) for c in spaced]).tolist()]
         found = self.a.encode(spaced, add_special_tokens=False)
-        a = found.ids
-        a_ends, sound = self._refined([self.a_bytes[i] for i in a], [byte_at[end] for _, end in found.offsets], data)
-        pieces = self.b.encode(spaced[1:], return_type="proto").pieces
+        a, offsets = found.ids, np.array(found.offsets, np.int64).reshape(-1, 2)
+        pieces = self.b.encode(text, return_type="proto").pieces
         b = [piece.id for piece in pieces]
-        # Spans of B are bytes of the text without the space that B adds.
-        b_ends, also = self._refined([self.b_bytes[i] for i in b], [piece.end + 1 for piece in pieces], data)
-        return Aligned(a, a_ends, b, b_ends, sound and also)
-
-    def chunk(self, spaced: str) -> Aligned:
-        found = self.known.get(spaced)
-        if found is None:
-            found = self.align(spaced)
-            if len(spaced) <= LONG_CHUNK:
-                if len(self.known) >= REMEMBERED:
-                    self.known.clear()
-                self.known[spaced] = found
+        if not b"".join(map(self.a_bytes.__getitem__, a)) == b"".join(map(self.b_bytes.__getitem__, b)) == data:
+            return None
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        # Offsets of A are characters: the byte where each ends, and tokens that share one with the next token.
+        if len(data) == len(spaced):
+            cuts = offsets[:, 1]
+        else:
+            starts = np.flatnonzero(np.frombuffer(data, np.uint8) & 0xC0 != 0x80)
+            cuts = np.append(starts, len(data))[offsets[:, 1]]
+        shared = np.append(offsets[1:, 0] < offsets[:-1, 1], False)
+        a_ends = _refined(cuts, self.a_sizes[a], shared)
+        # Spans of B are bytes of the text without the space that B adds; a run of fallback bytes is cut inside.
+        cuts = np.array([piece.end for piece in pieces], np.int64) + 1
+        b_ends = _refined(cuts, self.b_sizes[b], self.fallback[b])
+        sizes = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        return Spans(a, a_ends, b, b_ends) if all(map(np.array_equal, (a_ends, b_ends), sizes)) else None
+
+    def _solve(self, chunks: list[str]) -> list[Chunk] | None:
+        """Chunks that may stand side by side in one text, aligned; none if the text can't be."""
+        spans = self.spans(" ".join(chunks))
+        if spans is None:
+            return None
+        a, a_ends, b, b_ends = spans
+        ends = np.cumsum([len(chunk.encode()) + 1 for chunk in chunks])
+        cuts = np.union1d(a_ends, b_ends)
+        of_a, of_b = np.searchsorted(a_ends, cuts), np.searchsorted(b_ends, cuts)
+        common = np.intersect1d(a_ends, b_ends, assume_unique=True)
+        links = (a[of_a] << _PAIR | b[of_b]).astype(np.int64)
+        counts = [np.searchsorted(of, ends, "right") for of in (a_ends, b_ends, cuts, common)]
+        n_a, n_b, _, n_groups = (np.diff(count, prepend=0).tolist() for count in counts)
+        # The tokens of all groups in order, those of A before those of B, each with what stands behind it.
+        group_a, group_b = np.searchsorted(common, a_ends), np.searchsorted(common, b_ends)
+        shown = np.empty(len(a) + len(b), object)
+        last_a, last_b = (np.isin(of, common, assume_unique=True) for of in (a_ends, b_ends))
+        shown[np.arange(len(a)) + np.searchsorted(group_b, group_a)] = np.where(
+            last_a, self.a_shown["|"][a], self.a_shown[","][a])
+        of_chunk = np.isin(b_ends, ends, assume_unique=True)
+        shown[np.arange(len(b)) + np.searchsorted(group_a, group_b, "right")] = np.where(
+            of_chunk, self.b_shown[""][b], np.where(last_b, self.b_shown[";"][b], self.b_shown[","][b]))
+        shown = shown.tolist()
+        found, token, link = [], 0, 0
+        for i, j, upto, groups in zip(n_a, n_b, counts[2].tolist(), n_groups):
+            found.append(Chunk("".join(shown[token:token + i + j]), links[link:upto].tobytes(), i, j, groups, True))
+            token, link = token + i + j, upto
         return found
 
-    def chunks(self, text: str) -> list[str]:
-        """Chunks of a space and the text; none for an empty text."""
-        return self.cut(" " + text) if text else []
+    def solve(self, chunks: Iterable[str]) -> list[Chunk]:
+        """Each chunk aligned; many chunks go through the libraries side by side."""
+        chunks = list(chunks)
+        found = [self.known.get(chunk) for chunk in chunks]
+        plain = not self.joins
+        fresh = [at for at, known in enumerate(found) if known is None]
+        # Only chunks that end in a character that is no white space can be followed by another.
+        beside = [at for at in fresh if plain and chunks[at] and not chunks[at][-1].isspace() and len(chunks[at]) <= LONG_CHUNK]
+        single = sorted(set(fresh).difference(beside))
+        runs = [beside[at:at + _JOINED] for at in range(0, len(beside), _JOINED)] + [[at] for at in single]
+        while runs:
+            run = runs.pop()
+            made = self._solve([chunks[at] for at in run])
+            if made is None and len(run) > 1:
+                runs += [[at] for at in run]
+                continue
+            for at, chunk in zip(run, made or [UNSOUND]):
+                found[at] = chunk
+                if len(chunks[at]) <= LONG_CHUNK:
+                    self.known.put(chunks[at], chunk)
+        return found
 
 
 @lru_cache(maxsize=2)
@@ -167,16 +226,11 @@ def align_documents(docs: DataFrame, a_path: str, b_path: str, text: str = "text
         aligner, kind = load(a_path, b_path), pa.list_(pa.int32())
         for batch in batches:
             for key, value in zip(batch.column(0), batch.column(1)):
-                columns, begin = [array("i") for _ in range(5)], 0
-                parts = [(c, aligner.chunk(c)) for c in aligner.chunks(value.as_py() or "")]
-                for spaced, part in parts if all(p.sound for _, p in parts) else ():
-                    for column, ids, ends in ((0, part.a, part.a_ends), (2, part.b, part.b_ends)):
-                        columns[column].extend(ids)
-                        columns[column + 1].extend(begin + end for end in ends)
-                    columns[4].extend(begin + end for end in sorted(set(part.a_ends) & set(part.b_ends)))
-                    begin += len(spaced.encode())
+                text_of = value.as_py()
+                spans = aligner.spans(text_of) if text_of else None
+                columns = [*spans, np.intersect1d(spans.a_ends, spans.b_ends)] if spans else [np.zeros(0)] * 5
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([key.as_py()], key.type), *[pa.array([np.array(c, np.int32)], kind) for c in columns]],
+                    [pa.array([key.as_py()], key.type), *[pa.array([c.astype(np.int32)], kind) for c in columns]],
                     ["doc_id", "a_ids", "a_ends", "b_ids", "b_ends", "cuts"],
                 )
 
@@ -211,11 +265,9 @@ def _linked_blocks(docs: DataFrame, a_path: str, b_path: str, text: str, block_c
                "groups_sha256: string>>")
 
     def block(keys: list, rows: list, number: dict, at: int) -> pa.RecordBatch:
-        aligner = load(a_path, b_path)
-        parts = [aligner.chunk(spaced) for spaced in number]
+        parts = load(a_path, b_path).solve(number)
         shown = [part.shown for part in parts]
-        counts = np.array([(len(p.a), len(p.b), p.n_groups, len(p.links), p.sound) for p in parts], np.int64)
-        counts = counts.reshape(-1, 5)
+        counts = np.array([(p.n_a, p.n_b, p.n_groups, len(p.links) // 8, p.sound) for p in parts], np.int64).reshape(-1, 5)
         sizes, docs_out = [], []
         for key, numbers in zip(keys, rows):
             taken = np.frombuffer(numbers, np.int32)
@@ -231,7 +283,7 @@ def _linked_blocks(docs: DataFrame, a_path: str, b_path: str, text: str, block_c
             })
         sizes = np.array(sizes, np.int64)
         places = np.concatenate([np.frombuffer(r, np.int32) for r, size in zip(rows, sizes) if size] or [np.zeros(0, np.int32)])
-        links = np.concatenate([np.frombuffer(p.links, np.int64) for p in parts] or [np.zeros(0, np.int64)])
+        links = np.frombuffer(b"".join([part.links for part in parts]), np.int64)
         pairs, refs = np.unique(links, return_inverse=True)
         widths = counts[:, 3]
         often = np.repeat(np.bincount(places, minlength=len(parts)), widths)
