@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
-from pyspark import StorageLevel
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cadastra.operators.lloyd import KMeansCentres, fit_many
+
 K_RANGE = range(2, 11)
 SEED = 42
 
@@ -26,22 +24,12 @@ def assemble(df: DataFrame, columns: list[str], keep: list[str]) -> DataFrame:
     )
 
 
-def fit(vectors: DataFrame, k: int, seed: int = SEED) -> KMeansModel:
-    return KMeans(k=k, seed=seed, maxIter=300, tol=1e-4).fit(vectors)
-
-
 def kmeans_sweep(
-    vectors: DataFrame, ks=K_RANGE, seed: int = SEED, parallelism: int = 4
-) -> tuple[DataFrame, dict[int, KMeansModel]]:
-    """Fit every k on the same persisted vectors: a table (k, wcss), and the models.
-
-    The fits are independent, and each waits for the driver between its passes, so a few run at once.
-    """
-    held = vectors.select("features").persist(StorageLevel.MEMORY_AND_DISK)
-    with ThreadPoolExecutor(parallelism) as pool:
-        models = dict(zip(ks, pool.map(lambda k: fit(held, k, seed), ks)))
-    held.unpersist()
-    rows = [(k, float(model.summary.trainingCost)) for k, model in models.items()]
+    vectors: DataFrame, ks=K_RANGE, seed: int = SEED
+) -> tuple[DataFrame, dict[int, KMeansCentres]]:
+    """Fit every k over the same rows, all in the same scans: a table (k, wcss), and the models."""
+    models = fit_many(vectors, ks, seed)
+    rows = [(k, model.cost) for k, model in models.items()]
     return vectors.sparkSession.createDataFrame(rows, "k int, wcss double"), models
 
 
@@ -67,7 +55,7 @@ def choose_k(table: DataFrame, k: str = "k", wcss: str = "wcss") -> int:
     return elbow(table, k, wcss).orderBy(F.desc("distance"), k).first()[k]
 
 
-def assign_clusters(model: KMeansModel, vectors: DataFrame, key: str) -> DataFrame:
+def assign_clusters(model: KMeansCentres, vectors: DataFrame, key: str) -> DataFrame:
     """Key and label ``Cluster 1`` to ``Cluster k``."""
     label = F.concat(F.lit("Cluster "), (F.col("prediction") + 1).cast("string"))
     return model.transform(vectors).select(key, label.alias("cluster_label"))

@@ -1,6 +1,9 @@
+import numpy as np
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+from cadastra.operators import lloyd
 from cadastra.operators.clusters import choose_k, elbow, kmeans_sweep
 from cadastra.operators.features import categories, feature_table, feature_vectors, one_hot, standardize
 from cadastra.plans.build import cluster_parcels, parcel_features, vectors_of
@@ -95,6 +98,40 @@ def test_inertia_equals_a_recomputation(spark, blobs):
     assert table.first()["wcss"] == pytest.approx(total, rel=1e-6, abs=1e-6)
 
 
+def test_all_k_share_their_scans(spark, blobs, monkeypatch):
+    scans = []
+    whole = lloyd._scan_all
+    monkeypatch.setattr(lloyd, "_scan_all", lambda points, models: scans.append(set(models)) or whole(points, models))
+    vectors = vectors_of(blobs, "id", ["a", "b"], ["area"])
+    models = lloyd.fit_many(vectors, range(2, 8), 42, sample_rows=20)
+    alone = []
+    for k in range(2, 8):
+        before = len(scans)
+        assert np.allclose(lloyd.fit_many(vectors, [k], 42, sample_rows=20)[k].cost, models[k].cost, rtol=0.5)
+        alone.append(len(scans) - before)
+    assert scans[0] == set(range(2, 8)) and len(scans) - sum(alone) <= max(alone) + 5
+
+
+def test_centres_are_the_means_of_their_rows(spark, blobs):
+    vectors = vectors_of(blobs, "id", ["a", "b"], ["area"])
+    model = kmeans_sweep(vectors, [4])[1][4]
+    found = {}
+    for row in model.transform(vectors).collect():
+        found.setdefault(row["prediction"], []).append(row["features"].toArray())
+    assert sorted(map(len, found.values())) == [30] * 4
+    for number, own in found.items():
+        assert np.allclose(model.clusterCenters()[number], np.mean(own, axis=0), atol=1e-3)
+
+
+def test_dense_vectors_few_rows_and_none(spark):
+    rows = [(Vectors.dense([1.0, 0.0]),), (Vectors.sparse(2, [1], [5.0]),), (Vectors.dense([1.0, 0.0]),), (Vectors.sparse(2, [], []),)]
+    vectors = spark.createDataFrame(rows, ["features"])
+    models = lloyd.fit_many(vectors, [2, 3, 5], 1)
+    assert len(models[5].clusterCenters()) == 3 and models[3].cost == pytest.approx(0, abs=1e-9)
+    assert models[5].transform(vectors).select("prediction").distinct().count() == 3
+    assert lloyd.fit_many(vectors.limit(0), [2], 1) == {}
+
+
 def test_repeated_parcels_are_counted_before_they_are_shuffled(spark):
     parcels = spark.range(100).select(F.col("id").alias("k"), (F.col("id") % 7).alias("v"))
     lines = spark.range(500).select((F.col("id") % 90).alias("k"), F.col("id").alias("area"))
