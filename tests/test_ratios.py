@@ -1,7 +1,9 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
-from cadastra.operators.ratios import cod, eligible_sales, prd, ratio_study, sales_ratio
+from cadastra.operators.ratios import cod, eligible_sales, grouped_median, prd, ratio_study, sales_ratio
 
 
 def study(spark, pairs, **options):
@@ -41,3 +43,36 @@ def test_only_flagged_codes_count(spark):
     sales = spark.createDataFrame([(1, "Q"), (2, "U"), (3, "X"), (4, None)], "id int, code string")
     codes = spark.createDataFrame([("Q", True), ("Q", True), ("U", False), ("X", None)], "c string, f boolean")
     assert [r["id"] for r in eligible_sales(sales, codes, "code", "c", "f").collect()] == [1]
+
+
+@pytest.mark.parametrize("kind", ["double", "bigint", "decimal(20,4)"])
+@pytest.mark.parametrize("steps", [40, 4096])
+def test_medians_by_refinement(spark, kind, steps):
+    rnd = random.Random(8)
+    data = [("even", x) for x in (1.0, 2.0, 4.0, 9.0)] + [("odd", 3.0), ("odd", 3.0), ("odd", -7.0)]
+    data += [("one", 5.0)] + [(None, float(rnd.randint(-50, 50))) for _ in range(301)]
+    data += [("hot", 7.0)] * 400 + [("hot", rnd.choice([-1e15, 1e-3, 8.0, 1e15, 1e17])) for _ in range(399)]
+    data += [("wide", rnd.choice([-1, 1]) * 10.0 ** rnd.randint(-12, 12)) for _ in range(200)] + [("empty", None)]
+    if kind == "double":
+        data += [("huge", -1.7e308), ("huge", 1.7e308), ("huge", 1.0)]
+    df = spark.createDataFrame(data, "g string, v double").filter("v IS NULL OR abs(v) < 1e16 OR '%s' = 'double'" % kind)
+    df = df.withColumn("v", F.col("v").cast(kind))
+
+    def medians(by, strategy):
+        out = grouped_median(df, by, "v", "m", strategy=strategy, rows_per_place=1, steps=steps)
+        return {r[0] if by else "": r["m"] for r in out.collect()}
+
+    assert medians(["g"], "placed") == pytest.approx(medians(["g"], "plain"), rel=1e-12)
+    assert medians([], "placed") == pytest.approx(medians([], "plain"), rel=1e-12)
+
+
+def test_neighbouring_bigints_are_told_apart(spark):
+    df = spark.createDataFrame([(2**60 + i,) for i in (0, 0, 1, 1, 1)], "v bigint")
+    got = grouped_median(df, [], "v", "m", strategy="placed", rows_per_place=1).first()["m"]
+    assert got == float(2**60 + 1)
+
+
+def test_no_values_have_no_median(spark):
+    df = spark.createDataFrame([("a", None)], "g string, v double")
+    assert grouped_median(df, ["g"], "v", "m", strategy="placed").collect() == []
+    assert grouped_median(df, [], "v", "m", strategy="placed").count() <= 1
