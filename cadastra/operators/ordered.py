@@ -1,37 +1,40 @@
 """Running totals and ranks within groups that may each be far too large for one task.
 
-A window over a handful of groups runs in a handful of tasks. Here the rows are placed between cut
-points of their (group, value, tie) order instead. Totals per place are a small table, whose running
-sums give every place its starting total and rank; a window then only spans the rows of one place.
-
-* Places lie *between* neighbouring cuts or *at* a cut. All rows equal to a cut share one result,
-  known from the small table, so however many copies a key has they need no common task.
-* Cut points come from a bounded sample and affect speed only, never the result.
+A window over a handful of groups runs in a handful of tasks. Here the rows go through one range exchange by
+(group, value, tie) instead, into parts of bounded size. A part is sorted and summed by itself as it is written; a small
+table of what each part holds of each group gives the totals and rows before it, and joins what a cut has split.
+
+* A part's rows are ordered by a random number last, so a key of any number of copies is spread over parts.
+  What follows of a part's last key in later parts, and where its first value begins in earlier ones, come from the
+  small table.
+* How even the parts are affects speed only, never the result.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from cadastra.operators.joins import attach
-from cadastra.shared import stage
+from cadastra.shared import share_package, stage
 
-# A group up to this size is sorted by one task; beyond it the rows are placed between cuts.
+# A group up to this size is sorted by one task; beyond it the rows go into parts.
 PLAIN_ROWS = 1_000_000
 ROWS_PER_PLACE = 200_000
-# A sorted array of cuts is held by every task: some 10 MB. Beyond it places grow with the rows.
-MAX_CUTS = 262_144
-SAMPLE_PER_CUT = 20
-# Keys sorted in one place to pick the cuts from; it only steers how even the places are.
-MOST_SAMPLED = 1_000_000
+# Parts whose starts are a small table; beyond it parts grow with the rows.
+MAX_PLACES = 262_144
 
-PLACE, AT_CUT = "_place", "_at_cut"
-_CUTS, _KEY, _SALT = "_cuts", "_key", "_salt"
+_PART, _SUM, _AT, _HEAD, _TAIL, _HEAD_VALUE = "_part", "_part_sum", "_part_at", "_head", "_tail", "_head_value"
+_NUMBER, _SALT = "_number", "_salt"
+_LIMB = (1 << 32) - 1
 
 
 def largest_group(df: DataFrame, by: list[str]) -> int:
@@ -58,130 +61,128 @@ def sort_key(columns: list[str]) -> Column:
     return F.struct(*fields)
 
 
-@dataclass(frozen=True)
-class Cuts:
-    """Sorted distinct keys as a one-row table, fixed once for all passes of an operator."""
-
-    table: DataFrame
-    count: int
-    columns: list[str]
-
-
-def cut_points(
-    df: DataFrame, columns: list[str], rows: int, rows_per_place: int, max_cuts: int
-) -> Cuts:
-    """About ``rows / rows_per_place`` evenly spaced keys, at most ``max_cuts``, from a sample."""
-    wanted = max(1, min(max_cuts, rows // max(rows_per_place, 1)))
-    sampled_keys = min(wanted * SAMPLE_PER_CUT, max(MOST_SAMPLED, 2 * wanted))
-    fraction = min(1.0, sampled_keys / max(rows, 1))
-    sampled = df.select(sort_key(columns).alias(_KEY)).sample(fraction, 17)
-    every = max(1, int(rows * fraction) // (wanted + 1))
-    keys = sampled.agg(F.sort_array(F.collect_list(_KEY)).alias("keys"))
-    picked = keys.select(F.filter("keys", lambda _, at: (at + 1) % every == 0).alias("picked"))
-    cuts = picked.select(
-        F.filter(
-            "picked", lambda key, at: (at == 0) | (key != F.get("picked", at - 1))
-        ).alias(_CUTS)
-    )
-    table = stage(cuts, "cuts")
-    return Cuts(table, table.select(F.size(_CUTS)).first()[0], columns)
-
-
-def place_rows(df: DataFrame, cuts: Cuts) -> DataFrame:
-    """Add the number of cuts below each row and whether the row equals the next cut.
-
-    The number is found by bisection over the cut array. Every step is a projection of its own, so
-    that the comparisons are compiled code.
-    """
-    placed = df.withColumn(_CUTS, cuts.table.scalar()).withColumn(_KEY, sort_key(cuts.columns))
-    placed = placed.withColumn(PLACE, F.lit(0))
-    for bit in reversed(range(cuts.count.bit_length())):
-        ahead = F.get(_CUTS, F.col(PLACE) + (2**bit - 1)) < F.col(_KEY)
-        placed = placed.withColumn(
-            PLACE, F.when(ahead, F.col(PLACE) + 2**bit).otherwise(F.col(PLACE))
-        )
-    at_cut = F.coalesce(F.get(_CUTS, F.col(PLACE)) == F.col(_KEY), F.lit(False))
-    return placed.withColumn(AT_CUT, at_cut).drop(_CUTS, _KEY)
-
-
-def _level_flags(placed: DataFrame, cuts: Cuts, level: int) -> DataFrame:
-    """Whether a row has the group and value of the next cut, or of the previous one.
-
-    ``level`` is the number of leading key columns that make up group and value.
-    """
-    keyed = placed.withColumn(_CUTS, cuts.table.scalar())
-
-    def same(cut: Column) -> Column:
-        tests = [
-            cut[f"k{i}"].eqNullSafe(F.col(name)) for i, name in enumerate(cuts.columns[:level])
-        ]
-        all_same = tests[0]
-        for test in tests[1:]:
-            all_same = all_same & test
-        return F.coalesce(cut.isNotNull() & all_same, F.lit(False))
-
-    return keyed.withColumns(
-        {
-            "_next": same(F.get(_CUTS, F.col(PLACE))),
-            "_prev": same(F.get(_CUTS, F.col(PLACE) - 1)),
-        }
-    ).drop(_CUTS)
-
-
-def _level_starts(cuts: Cuts, level: int) -> DataFrame:
-    """For each cut, the first cut with the same group and value: columns ``_cut``, ``_level``."""
-    listed = cuts.table.select(F.posexplode(_CUTS).alias("_cut", "_key"))
-    head = [F.col(f"_key.k{number}") for number in range(level)]
-    return listed.select("_cut", F.min("_cut").over(Window.partitionBy(*head)).alias("_level"))
-
-
-def _place_table(flagged: DataFrame, by: list[str], value: str, cuts: Cuts) -> DataFrame:
-    """Per group and place: amount and rows before it, its own amount, and the ranks at its ends."""
-    totals = flagged.groupBy(*by, PLACE, AT_CUT).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.sum(value).alias("_amount"),
-        F.count_if(F.col("_next")).alias("_level_rows"),
-    )
-    totals = stage(totals, "places")
-    before = Window.partitionBy(*by).orderBy(PLACE, AT_CUT).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    running = totals.withColumns(
-        {
-            "_rows_before": F.coalesce(F.sum("_rows").over(before), F.lit(0)),
-            "_amount_before": F.sum("_amount").over(before),
-        }
-    )
-    # Rank of a cut's value: one more than the rows of the group below that value. Those are the
-    # rows before the first cut of the value, less the ones just below it that share the value.
-    starts = _level_starts(cuts, len(by) + 1)
-    at_first = running.groupBy(*by, F.col(PLACE).alias("_level")).agg(
-        F.max(F.when(F.col(AT_CUT), F.col("_rows_before"))).alias("_upto"),
-        F.sum(F.when(~F.col(AT_CUT), F.col("_level_rows")).otherwise(0)).alias("_shared"),
-    )
-    ranked = (
-        at_first.filter(F.col("_upto").isNotNull())
-        .join(starts.withColumnRenamed("_level", "_start"), F.col("_level") == F.col("_start"))
-        .select(*by, "_cut", (F.col("_upto") - F.col("_shared") + 1).alias("_rank"))
-    )
-
-    def ends(name: str, cut: Column) -> DataFrame:
-        return ranked.select(
-            *[F.col(b).alias(f"_{name}_{b}") for b in by],
-            cut.alias(f"_{name}_place"),
-            F.col("_rank").alias(f"_{name}_rank"),
-        )
-
-    out = running
-    for name, cut in (("next", F.col("_cut")), ("prev", F.col("_cut") + 1)):
-        side = ends(name, cut)
-        match = F.col(PLACE) == F.col(f"_{name}_place")
-        for b in by:
-            match = match & F.col(b).eqNullSafe(F.col(f"_{name}_{b}"))
-        out = out.join(side, match, "left").drop(
-            f"_{name}_place", *[f"_{name}_{b}" for b in by]
-        )
-    return stage(out.drop("_rows", "_level_rows"), "places")
+def _part_count(rows: int, rows_per_place: int, max_places: int) -> int:
+    return max(1, min(max_places, -(-rows // max(rows_per_place, 1))))
+
+
+def _changes(columns: list[pa.Array], rows: int) -> np.ndarray:
+    """Whether each row but the first differs from the one before in any column; NULLs equal NULLs."""
+    found = np.zeros(max(rows - 1, 0), bool)
+    for column in columns if rows > 1 else ():
+        before, after = column.slice(0, rows - 1), column.slice(1)
+        differs = pc.fill_null(pc.not_equal(before, after), False)
+        if pa.types.is_floating(column.type):
+            nans = pc.and_(pc.fill_null(pc.is_nan(before), False), pc.fill_null(pc.is_nan(after), False))
+            differs = pc.and_not(differs, nans)
+        differs = pc.or_(differs, pc.xor(before.is_null(), after.is_null()))
+        found |= differs.to_numpy(zero_copy_only=False)
+    return found
+
+
+def _limbs(numbers: pa.Array) -> list[np.ndarray]:
+    """The 128-bit numbers as four 32-bit limbs, lowest first, the last one signed; 0 for NULL."""
+    words = np.frombuffer(numbers.buffers()[1], np.int64)[2 * numbers.offset:2 * (numbers.offset + len(numbers))]
+    words = np.where(numbers.is_null().to_numpy(zero_copy_only=False)[:, None], 0, words.reshape(-1, 2))
+    low, high = words[:, 0], words[:, 1]
+    return [low & _LIMB, (low >> 32) & _LIMB, high & _LIMB, high >> 32]
+
+
+def _decimals(limbs: list[np.ndarray], known: np.ndarray, kind: pa.DataType) -> pa.Array:
+    """Sums of limbs as decimals, NULL where not known."""
+    carry, words = np.zeros(len(known), np.int64), []
+    for limb in limbs:
+        total = limb + carry
+        words.append(total & _LIMB)
+        carry = total >> 32
+    pairs = np.stack([words[0] | words[1] << 32, words[2] | words[3] << 32], axis=1)
+    valid = pa.py_buffer(np.packbits(known, bitorder="little").tobytes())
+    return pa.Array.from_buffers(kind, len(known), [valid, pa.py_buffer(np.ascontiguousarray(pairs).tobytes())])
+
+
+def _summed(part: pa.Table, by: list[str], value: str, tie: str, number: int) -> pa.Table:
+    """One sorted part: per row the sum up to its last peer and the rank, both within this part and group."""
+    rows = part.num_rows
+    column = {name: part.column(name).combine_chunks() for name in dict.fromkeys([*by, value, tie, _NUMBER])}
+    new_group = _changes([column[b] for b in by], rows)
+    new_value = new_group | _changes([column[value]], rows)
+    new_key = new_value | _changes([column[tie]], rows)
+
+    def run_of(new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The first and the last row of the run that each row is in."""
+        starts = np.concatenate([[0], np.flatnonzero(new) + 1])
+        run = np.concatenate([[0], np.cumsum(new)])
+        return starts[run], np.append(starts[1:], rows)[run] - 1
+
+    (group, group_last), (first, _), (key, last) = run_of(new_group), run_of(new_value), run_of(new_key)
+
+    def through(values: np.ndarray) -> np.ndarray:
+        total = np.concatenate([[0], np.cumsum(values)])
+        return total[last + 1] - total[group]
+
+    numbers = column[_NUMBER]
+    known = through(numbers.is_valid().to_numpy(zero_copy_only=False).astype(np.int64)) > 0
+    made = {
+        _PART: pa.array(np.full(rows, number, np.int64)),
+        _SUM: _decimals([through(limb) for limb in _limbs(numbers)], known, numbers.type),
+        _AT: pa.array(first - group + 1),
+        _HEAD: pa.array(key == group), _TAIL: pa.array(last == group_last), _HEAD_VALUE: pa.array(first == group),
+    }
+    kept = part.drop_columns([_NUMBER])
+    for name, values in made.items():
+        kept = kept.append_column(name, values)
+    return kept
+
+
+def _parts(source: DataFrame, by: list[str], value: str, tie: str, number: Column, parts: int) -> DataFrame:
+    """The rows in order, part by part, each with its sum and rank inside its part and group."""
+    order = [*[F.col(b).asc() for b in by], F.col(value).asc_nulls_last(), F.col(tie).asc_nulls_last()]
+    # Reproducible in a repeated task, since the input is a scan of files.
+    salted = source.withColumns({_NUMBER: number, _SALT: F.rand(11)})
+    dealt = salted.repartitionByRange(parts, *order, F.col(_SALT)).sortWithinPartitions(*order).drop(_SALT)
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [batch for batch in batches if batch.num_rows]
+        if held:
+            yield from _summed(
+                pa.Table.from_batches(held), by, value, tie, TaskContext.get().partitionId()).to_batches()
+
+    flags = [T.StructField(name, T.BooleanType()) for name in (_HEAD, _TAIL, _HEAD_VALUE)]
+    schema = T.StructType([
+        *source.schema.fields, T.StructField(_PART, T.LongType()),
+        T.StructField(_SUM, dealt.schema[_NUMBER].dataType), T.StructField(_AT, T.LongType()), *flags,
+    ])
+    return stage(dealt.mapInArrow(sums, schema), "parts")
+
+
+def _part_table(parts: DataFrame, by: list[str], value: str, tie: str) -> DataFrame:
+    """Per group and part: sum and rows before it, what follows of its last key, the rank of its first value."""
+
+    def at(flag: str, names: list[str]) -> Column:
+        return F.max(F.when(F.col(flag), sort_key(names)))
+
+    totals = stage(parts.groupBy(*by, _PART).agg(
+        F.count(F.lit(1)).alias("_rows"), F.max(F.when(F.col(_TAIL), F.col(_SUM))).alias("_amount"),
+        F.max(F.when(F.col(_HEAD), F.col(_SUM))).alias("_head_amount"), F.max(_AT).alias("_last_at"),
+        at(_HEAD, [value, tie]).alias("_first_key"), at(_TAIL, [value, tie]).alias("_last_key"),
+        at(_HEAD, [value]).alias("_first_value"), at(_TAIL, [value]).alias("_last_value"),
+    ), "part-totals")
+    before = Window.partitionBy(*by).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy(*by, "_first_key").orderBy(_PART).rowsBetween(Window.unboundedPreceding, 0)
+    running = totals.withColumns({
+        "_rows_before": F.coalesce(F.sum("_rows").over(before), F.lit(0)),
+        "_amount_before": F.sum("_amount").over(before),
+        "_head_upto": F.sum("_head_amount").over(upto),
+    })
+    heads = totals.groupBy(*by, F.col("_first_key").alias("_last_key")).agg(F.sum("_head_amount").alias("_heads"))
+    starts = running.groupBy(*by, F.col("_last_value").alias("_first_value")).agg(
+        F.min(F.col("_rows_before") + F.col("_last_at")).alias("_earlier"))
+    joined = attach(attach(running, heads, [*by, "_last_key"]), starts, [*by, "_first_value"])
+    own = F.when(F.col("_first_key") == F.col("_last_key"), F.coalesce("_head_upto", F.lit(0))).otherwise(F.lit(0))
+    return stage(joined.select(
+        *by, _PART, "_rows_before", "_amount_before",
+        (F.coalesce("_heads", F.lit(0)) - own).alias("_following"),
+        F.least("_earlier", F.col("_rows_before") + 1).alias("_first_rank"),
+    ), "part-starts")
 
 
 def _check_exact(df: DataFrame, value: str) -> None:
@@ -200,7 +201,7 @@ def ordered_totals(
     strategy: str = "auto",
     plain_rows: int = PLAIN_ROWS,
     rows_per_place: int = ROWS_PER_PLACE,
-    max_cuts: int = MAX_CUTS,
+    max_places: int = MAX_PLACES,
     staged: bool = False,
 ) -> DataFrame:
     """Add the running sum of ``value`` in (value, tie) order and the rank of ``value`` per group.
@@ -225,37 +226,18 @@ def ordered_totals(
             }
         )
 
+    share_package(df.sparkSession)
     source = df if staged else stage(df)
-    keys = [*by, value, tie]
-    cuts = cut_points(source, keys, source.count(), rows_per_place, max_cuts)
-    flagged = _level_flags(place_rows(source, cuts), cuts, len(by) + 1)
-    places = _place_table(flagged.withColumn("_number", number), by, "_number", cuts)
-
-    # Rows at a cut need no common task. The salt is reproducible in a repeated task, since the input
-    # is a scan of files without a shuffle in between.
-    salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salted = flagged.withColumn(
-        _SALT, F.when(F.col(AT_CUT), F.floor(F.rand(11) * salts)).otherwise(F.lit(-1))
-    )
-    inside = Window.partitionBy(PLACE, AT_CUT, _SALT, *by)
-    local = salted.withColumns(
-        {
-            "_local_sum": F.sum(number).over(inside.orderBy(*nulls_last)),
-            "_local_rank": F.rank().over(inside.orderBy(nulls_last[0])),
-        }
-    )
-    found = attach(local, places, [*by, PLACE, AT_CUT])
-    own = F.when(F.col(AT_CUT), F.col("_amount")).otherwise(F.col("_local_sum"))
-    zero = F.lit(0).cast("decimal(20,0)")
+    parts = _parts(
+        source, by, value, tie, number.cast(sum_type), _part_count(source.count(), rows_per_place, max_places))
+    found = attach(parts, _part_table(parts, by, value, tie), [*by, _PART])
+    zero = F.lit(0).cast(sum_type)
     total = F.when(
-        F.col("_amount_before").isNotNull() | own.isNotNull(),
-        F.coalesce(F.col("_amount_before"), zero) + F.coalesce(own, zero),
-    )
-    position = (
-        F.when(F.col("_next"), F.col("_next_rank"))
-        .when(F.col("_prev"), F.col("_prev_rank"))
-        .otherwise(F.col("_rows_before") + F.col("_local_rank"))
+        F.col("_amount_before").isNotNull() | F.col(_SUM).isNotNull(),
+        F.coalesce(F.col("_amount_before"), zero) + F.coalesce(F.col(_SUM), zero)
+        + F.when(F.col(_TAIL), F.col("_following")).otherwise(zero),
     )
+    position = F.when(F.col(_HEAD_VALUE), F.col("_first_rank")).otherwise(F.col("_rows_before") + F.col(_AT))
     return found.select(
         *df.columns, total.cast(sum_type).alias(running), position.cast("bigint").alias(rank)
     )

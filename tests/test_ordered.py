@@ -1,12 +1,16 @@
 """Placed scans must equal plain windows whatever the number of places."""
 
 import random
+from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
-from cadastra.operators.ordered import cut_points, ordered_totals, place_rows, sort_key
+from cadastra.operators import ordered
+from cadastra.operators.ordered import ordered_totals
 from cadastra.operators.ratios import grouped_median
 from cadastra.operators.strata import value_groups
+from cadastra.shared import stage
 from tests.conftest import rows
 
 
@@ -59,25 +63,36 @@ def test_median_of_even_counts(spark):
     assert rows(placed) == [("a", 3.0)]
 
 
-def test_places_count_the_cuts_below(mixed):
-    columns = ["g", "v", "id"]
-    cuts = cut_points(mixed, columns, mixed.count(), 50, 1000)
-    placed = place_rows(mixed, cuts).withColumn("key", sort_key(columns))
-    listed = cuts.table.first()[0]
-    assert cuts.count == len(listed)
-    for row in placed.collect():
-        key = tuple(row["key"])
-        below = [c for c in listed if _less(tuple(c), key)]
-        assert row["_place"] == len(below)
-        assert row["_at_cut"] == any(tuple(c) == key for c in listed)
-
-
-def _less(a, b):
-    for x, y in zip(a, b):
-        if x == y:
-            continue
-        return y is not None and x < y if x is not None else True
-    return False
+@pytest.mark.parametrize("rows_per_place", [7, 60])
+def test_a_key_in_many_parts(spark, rows_per_place):
+    data = [("a", 5, "same")] * 100 + [("a", None, "same")] * 50 + [("a", 4, "x"), ("a", 5, "t"), (None, 5, "same")]
+    data += [("b", None, None)] * 30
+    df = spark.createDataFrame(data, "g string, v int, id string")
+    for by in (["g"], []):
+        plain = ordered_totals(df, by, "v", "id", strategy="plain")
+        placed = ordered_totals(df, by, "v", "id", strategy="placed", rows_per_place=rows_per_place)
+        assert rows(placed) == rows(plain)
+
+
+def test_wide_decimals_and_floating_ties(spark):
+    rnd = random.Random(4)
+    data = [(Decimal(rnd.randint(-10**24, 10**24)).scaleb(-4), rnd.choice([1.5, float("nan"), None, -2.0])) for _ in range(300)]
+    df = spark.createDataFrame(data, "v decimal(28,4), tie double").withColumn("i", F.monotonically_increasing_id())
+    plain = ordered_totals(df, [], "v", "tie", strategy="plain")
+    placed = ordered_totals(df, [], "v", "tie", strategy="placed", rows_per_place=40)
+    assert placed.dtypes == plain.dtypes and rows(placed.drop("tie")) == rows(plain.drop("tie"))
+
+
+def test_parts_take_one_exchange_of_the_rows(mixed):
+    source = stage(mixed)
+    placed = ordered_totals(source, ["g"], "v", "id", strategy="placed", rows_per_place=50, staged=True)
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "BroadcastHashJoin" in plan
+    assert max(r["n"] for r in _parts_of(source).groupBy("_part").agg(F.count("*").alias("n")).collect()) < 400
+
+
+def _parts_of(source):
+    return ordered._parts(source, ["g"], "v", "id", F.col("v").cast("decimal(38,0)"), 40)
 
 
 def test_floating_values_are_refused(spark):
