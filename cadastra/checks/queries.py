@@ -42,8 +42,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = "2001-08-01"
 # No single order holds 15% of a stratum's value, so the outlier share is set where some do.
 RULES = StudyRules(as_of=AS_OF, outlier_share=0.0005)
-# Places small enough that the given tables are cut into many.
-PLACED = {"strategy": "placed", "rows_per_place": 500}
+# Places, of which each is a task, small enough that the given tables are cut into many.
+PLACED = {"strategy": "placed", "rows_per_place": 2_000}
 
 
 def _doubles(df: DataFrame) -> DataFrame:
@@ -663,7 +663,7 @@ QUERIES: dict[str, Query] = {
     "cumulative_share": _cumulative(),
     "cumulative_share_placed": _cumulative(**PLACED),
     "rank_in_stratum": _ranked(),
-    "rank_in_stratum_placed": _ranked(strategy="placed", rows_per_place=50),
+    "rank_in_stratum_placed": _ranked(strategy="placed", rows_per_place=500),
     "value_groups": _grouped(),
     "value_groups_placed": _grouped(**PLACED),
     "value_groups_all": _grouped_all(),
