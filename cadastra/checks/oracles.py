@@ -273,6 +273,10 @@ ORACLES: dict[str, str] = {
     "scan_delimited": """
         SELECT c_custkey::INTEGER AS c_custkey, replace(c_name, '#', ', no ') AS c_name, c_nationkey,
                CAST(c_acctbal AS DECIMAL(18,2))::DOUBLE AS c_acctbal, c_mktsegment FROM customer""",
+    "scan_line_breaks": """
+        SELECT c_custkey::INTEGER AS c_custkey, CASE WHEN c_acctbal < 0 THEN c_mktsegment
+            ELSE c_mktsegment || chr(10) || replace(c_name, '#', ' "no",' || chr(10) || chr(10)) END AS note,
+            c_nationkey::INTEGER AS c_nationkey FROM customer""",
     "scan_rejected": """
         SELECT c_custkey || ',"' || replace(c_name, '#', ', no ') || '"' AS line
         FROM customer WHERE c_acctbal < 0""",

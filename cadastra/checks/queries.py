@@ -87,6 +87,19 @@ def q_scan_delimited(spark, sf_dir):
     return _doubles(project_typed(scan.kept, _CUSTOMER_COLUMNS))
 
 
+def q_scan_line_breaks(spark, sf_dir):
+    """Customers in one file of about 20 splits, with delimiters, quotes and line breaks inside values."""
+    customer = table(spark, sf_dir, "customer")
+    note = F.concat("c_mktsegment", F.lit("\n"), F.replace("c_name", F.lit("#"), F.lit(' ""no"",\n\n')))
+    noted = F.when(F.col("c_acctbal") < 0, F.col("c_mktsegment")).otherwise(F.concat(F.lit('"'), note, F.lit('"')))
+    path = scratch_path(spark, "notes")
+    lines = customer.select(F.concat_ws(",", "c_custkey", noted, "c_nationkey").alias("line"))
+    standins.write_lines(lines.coalesce(1), "C_CUSTKEY,NOTE,C_NATIONKEY", path)
+    scan = scan_delimited(spark, path, ",", multi_line=True, split_bytes=max(1024, customer.count() * 3))
+    columns = (("C_CUSTKEY", "c_custkey", "int"), ("NOTE", "note", "string"), ("C_NATIONKEY", "c_nationkey", "int"))
+    return project_typed(scan.kept, columns)
+
+
 def q_scan_rejected(spark, sf_dir):
     return _customer_scan(spark, sf_dir).rejected
 
@@ -644,6 +657,7 @@ def q_star_decode_all(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {
     "scan_delimited": q_scan_delimited,
+    "scan_line_breaks": q_scan_line_breaks,
     "scan_rejected": q_scan_rejected,
     "staging_audit": q_staging_audit,
     "lookup_normalize": q_lookup_normalize,
