@@ -277,6 +277,14 @@ ORACLES: dict[str, str] = {
         SELECT c_custkey::INTEGER AS c_custkey, CASE WHEN c_acctbal < 0 THEN c_mktsegment
             ELSE c_mktsegment || chr(10) || replace(c_name, '#', ' "no",' || chr(10) || chr(10)) END AS note,
             c_nationkey::INTEGER AS c_nationkey FROM customer""",
+    "sniff_types": """
+        WITH n AS (SELECT COUNT(*) AS filled, COUNT(*) FILTER (o_orderkey < 10000000) AS padded FROM orders)
+        SELECT column_name, declared, sniffed, CASE column_name WHEN 'NOTHING' THEN 0 ELSE filled END AS filled,
+            CASE column_name WHEN 'CODE' THEN padded ELSE 0 END AS coded
+        FROM n CROSS JOIN (VALUES ('KEY', 'bigint', 'bigint'), ('PRICE', 'decimal(18,2)', 'decimal'),
+            ('EXPONENT', NULL, 'double'), ('DAY', NULL, 'date'), ('STAMP', NULL, 'timestamp'),
+            ('FLAG', NULL, 'boolean'), ('CODE', 'string', 'bigint'), ('MIXED', NULL, 'string'),
+            ('NOTHING', NULL, NULL), ('PRIORITY', NULL, 'string')) AS t(column_name, declared, sniffed)""",
     "scan_rejected": """
         SELECT c_custkey || ',"' || replace(c_name, '#', ', no ') || '"' AS line
         FROM customer WHERE c_acctbal < 0""",

@@ -36,6 +36,7 @@ from cadastra.sources.delimited import (
 )
 from cadastra.sources.lookups import load_lookup
 from cadastra.sources.polygons import centroids, read_polygons
+from cadastra.sources.sniff import sniff_types
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -100,6 +101,25 @@ def q_scan_line_breaks(spark, sf_dir):
     return project_typed(scan.kept, columns)
 
 
+def q_sniff_types(spark, sf_dir):
+    """Types of an undeclared file of orders, found over all its lines, beside those declared for some columns."""
+    order = F.col("o_orderkey")
+    fields = [
+        order, money("o_totalprice"), F.when(order % 7 == 0, F.lit("1.5e3")).otherwise(order.cast("string")),
+        F.date_format("o_orderdate", "yyyy-MM-dd"),
+        F.when(order % 3 == 0, F.date_format("o_orderdate", "M/d/yyyy")).otherwise(F.date_format("o_orderdate", "M/d/yyyy H:mm:ss")),
+        (order % 2 == 0).cast("string"), F.lpad(order.cast("string"), 8, "0"),
+        F.concat(order.cast("string"), F.when(order % 97 == 0, F.lit(" acres")).otherwise(F.lit(""))),
+        F.lit(""), F.col("o_orderpriority"),
+    ]
+    path = scratch_path(spark, "undeclared")
+    header = "KEY,PRICE,EXPONENT,DAY,STAMP,FLAG,CODE,MIXED,NOTHING,PRIORITY"
+    lines = table(spark, sf_dir, "orders").select(
+        F.concat_ws(",", *[F.coalesce(f.cast("string"), F.lit("")) for f in fields]).alias("line"))
+    standins.write_lines(lines, header, path)
+    return sniff_types(scan_delimited(spark, path).kept, {"Key": "bigint", "Price": "decimal(18,2)", "Code": "string"})
+
+
 def q_scan_rejected(spark, sf_dir):
     return _customer_scan(spark, sf_dir).rejected
 
@@ -658,6 +678,7 @@ def q_star_decode_all(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     "scan_delimited": q_scan_delimited,
     "scan_line_breaks": q_scan_line_breaks,
+    "sniff_types": q_sniff_types,
     "scan_rejected": q_scan_rejected,
     "staging_audit": q_staging_audit,
     "lookup_normalize": q_lookup_normalize,
