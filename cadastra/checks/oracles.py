@@ -407,6 +407,20 @@ ORACLES: dict[str, str] = {
     "kmeans_properties": """
         SELECT k::INTEGER AS k, (SELECT COUNT(*) FROM part) AS assigned, k::BIGINT AS clusters,
                TRUE AS cost_matches, TRUE AS labels_match FROM range(2, 11) AS ks(k)""",
+    "cluster_join_back": """
+        SELECT lpad(o_orderkey::VARCHAR, 18, '0') AS parcel_id, 1::BIGINT AS labels, TRUE AS label_known,
+               TRUE AS k_in_range, 4::BIGINT AS tried FROM orders""",
+    "versioned_tables": """
+        SELECT o_orderkey, (2 * CAST(o_totalprice AS DECIMAL(18,2)))::DOUBLE AS price,
+               (SELECT COUNT(*) FROM orders)::INTEGER AS first_rows,
+               (SELECT COUNT(*) FROM orders WHERE o_orderkey % 2 = 0)::INTEGER AS half_rows,
+               (SELECT COUNT(*) FROM orders WHERE o_orderkey % 2 = 0)::INTEGER AS last_rows, 2::BIGINT AS collected
+        FROM orders WHERE o_orderkey % 2 = 0""",
+    "run_ledger": """
+        SELECT run_id, 'customer' AS table_name, COUNT(*) AS kept_rows,
+               COUNT(*) + COUNT(*) FILTER (c_acctbal < 0) AS raw_rows, COUNT(*) FILTER (c_acctbal < 0) AS rejected_rows,
+               TRUE AS timed
+        FROM customer CROSS JOIN (VALUES ('2026-01'), ('2026-02')) AS runs(run_id) GROUP BY run_id""",
     "parcel_cluster_properties": """
         SELECT (SELECT COUNT(*) FROM orders) AS parcels, (SELECT COUNT(*) FROM orders) AS keys,
                TRUE AS k_in_range, TRUE AS labels_match, TRUE AS all_used""",

@@ -24,10 +24,11 @@ from cadastra.operators.strata import (
     basic_stratum, cumulative_share, stratum_collapse, value_groups,
 )
 from cadastra.plans.build import (
-    CLUSTER_CATEGORIES, CLUSTER_NUMBERS, build_warehouse, cluster_parcels, parcel_features, project_coordinates, reproject_dimension,
-    vectors_of, with_crs,
+    CLUSTER_CATEGORIES, CLUSTER_NUMBERS, Audit, build_warehouse, cluster_parcels, ingest, parcel_features,
+    project_coordinates, publish_clusters, reproject_dimension, vectors_of, with_crs,
 )
 from cadastra.plans.parcels import StudyRules, build_dim_parcels
+from cadastra.plans.versions import RunLedger, VersionedWarehouse
 from cadastra.plans.warehouse import Warehouse, decode, decode_table
 from cadastra.shared import scratch_path, stage
 from cadastra.sources.contracts import CODE_MAP, LOOKUPS, STAGING, LookupSpec
@@ -541,6 +542,53 @@ def q_parcel_cluster_properties(spark, sf_dir):
     )
 
 
+def q_cluster_join_back(spark, sf_dir):
+    """Clusters published from stand-in tables, read back and joined to their parcels."""
+    warehouse = VersionedWarehouse(spark, scratch_path(spark, "clusters"))
+    described = left_enrich(
+        standins.parcels(spark, sf_dir).select("parcel_id", "total_value", "dor_use_code"),
+        standins.roll(spark, sf_dir).select("parcel_id", "market_area_code", "impvmt_quality"), "parcel_id",
+    )
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.expr("lpad(cast(l_orderkey as string), 18, '0')").alias("parcel_id"), F.col("l_quantity").alias("total_under_roof"))
+    warehouse.publish("dim_parcels", described)
+    warehouse.publish("fact_bldg", lines)
+    ks = range(2, 6)
+    sweep = publish_clusters(warehouse, ks)
+    labels = warehouse.read("dim_parcel_clusters")
+    names = [f"Cluster {number}" for number in range(1, max(ks) + 1)]
+    used = labels.agg(F.count_distinct("cluster_label")).scalar()
+    joined = warehouse.read("dim_parcels").join(labels, "parcel_id", "left").groupBy("parcel_id").agg(
+        F.count("cluster_label").alias("labels"), F.bool_and(F.col("cluster_label").isin(names)).alias("label_known"))
+    return joined.select(
+        "parcel_id", "labels", "label_known", used.between(2, max(ks)).alias("k_in_range"),
+        F.lit(sweep.count()).cast("bigint").alias("tried"))
+
+
+def q_versioned_tables(spark, sf_dir):
+    """Orders published, halved and doubled as versions, one write left unfinished, old versions collected."""
+    warehouse = VersionedWarehouse(spark, scratch_path(spark, "versions"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", money("o_totalprice").alias("price"))
+    first = warehouse.publish("orders", orders)
+    half = warehouse.replace("orders", warehouse.read("orders").filter("o_orderkey % 2 = 0"))
+    last = warehouse.replace("orders", warehouse.read("orders").withColumn("price", F.col("price") * 2))
+    warehouse._write(f"{warehouse._table('orders')}/data/{'9' * 12}-unfinished", orders.limit(1), None)
+    gone = warehouse.collect("orders", keep=1)
+    return warehouse.read("orders").select(
+        "o_orderkey", F.col("price").cast("double").alias("price"), F.lit(first).alias("first_rows"),
+        F.lit(half).alias("half_rows"), F.lit(last).alias("last_rows"), F.lit(gone).cast("bigint").alias("collected"))
+
+
+def q_run_ledger(spark, sf_dir):
+    """Two runs of the customer ingest, the first sent twice."""
+    ledger = RunLedger(spark, scratch_path(spark, "ledger"))
+    for run_id in ("2026-01", "2026-02", "2026-01"):
+        warehouse, audit = VersionedWarehouse(spark, scratch_path(spark, "run")), Audit()
+        ingest(warehouse, audit, "customer", _customer_scan(spark, sf_dir), lambda df: project_typed(df, _CUSTOMER_COLUMNS))
+        ledger.record(run_id, audit.table(spark))
+    return ledger.history().withColumn("timed", F.col("seconds") > 0).drop("seconds")
+
+
 def q_one_hot_sparse(spark, sf_dir):
     """Stored values and width of the vectors of a number and two categories."""
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_type", "p_brand")
@@ -722,6 +770,9 @@ QUERIES: dict[str, Query] = {
     "parcel_clusters": q_parcel_clusters,
     "kmeans_properties": q_kmeans_properties,
     "parcel_cluster_properties": q_parcel_cluster_properties,
+    "cluster_join_back": q_cluster_join_back,
+    "versioned_tables": q_versioned_tables,
+    "run_ledger": q_run_ledger,
     "one_hot_sparse": q_one_hot_sparse,
     "polygon_centroid": q_polygon_centroid,
     "project_coordinates": q_project_coordinates,
