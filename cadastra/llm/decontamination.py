@@ -1,13 +1,14 @@
-"""Benchmark passages in documents: windows of the items' sizes, exact similarity, SimHash distance.
-
-1. Windows. A window similar enough to an item shares most shingles with it, so shingles of documents
-   are matched with those of the items. Moving a window right to its first shared shingle never lowers
-   its similarity, so the windows that start at a shared shingle and hold the least number of shared
-   ones the threshold implies are all that need a look. Windows end early at the end of a text.
-2. Check. The weighted similarity of the shingle multisets, sum of least counts over sum of greatest,
-   of every window listed for an item. No radius of fingerprints comes before it: windows of few or
-   repeated shingles reach the similarity at any distance.
-3. Distance. Windows and items get SimHash fingerprints; the bits between them are reported.
+"""Benchmark passages in documents: SimHash windows, multi-index Hamming blocks, exact weighted similarity.
+
+1. Windows. Windows have an item's size in shingles. One similar enough to any item shares most shingles with it, and
+   moving it right to its first shared shingle never lowers its similarity; so only windows that start at a shared
+   shingle and hold the least number of shared ones that the threshold implies are fingerprinted. Windows end early at the
+   end of a text.
+2. Blocks. Fingerprints of windows and items are cut into segments, and every item is put under all values of a small
+   Hamming ball around each of its segments; a window meets all items of its size within the radius, none is missed.
+3. The rest. A fingerprint tells little of few or repeated shingles: such items and windows, and windows cut by the
+   end of a text, may be similar at any distance. They meet the items whose shingles listed them, whatever their bits.
+4. Check. The weighted similarity of the shingle multisets, sum of least counts over sum of greatest, of every pair.
 
 Texts are read twice; what is shuffled grows with the matches, or with the shingles where the benchmark
 is too large for Spark's own broadcast threshold. Column expressions only.
@@ -19,10 +20,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadastra.llm.common import let, words_of
+from cadastra.llm.hamming import balls, entries, search_plan
 from cadastra.shared import stage
 
 SHINGLE = 5
 SIMILARITY = 0.8
+# Whole windows of distinct shingles at 0.8 differ from their item by 9.7 bits in the mean, with a deviation of 2.9.
+RADIUS = 22
+SEGMENTS = 8
+# Items of fewer shingles have fingerprints that a single shingle turns.
+LEAST_SHINGLES = 12
 
 # Bit b is set if more than half of the hashes have it.
 _SIMHASH = """aggregate(sequence(0, 63), 0L, (print, b) -> print | if(
@@ -53,13 +60,19 @@ def _item_hashes(items: DataFrame, widths: list[int]) -> DataFrame:
     return items.where("width > 0").select("item_id", "width", hashes.alias("hashes"))
 
 
-def leaks(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def _repeats(hashes: str) -> Column:
+    return F.size(F.array_distinct(hashes)) < F.size(hashes)
+
+
+def leaks(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS,
+          segments: int = SEGMENTS, least_shingles: int = LEAST_SHINGLES) -> DataFrame:
     """(digest, item_id, similarity, bits, first_word) of the best window per text and benchmark item.
 
     ``docs`` needs the column text, ``items`` item_id and text; others are not read. A text stands for
     all documents that have it, by :func:`text_digest`. Null and empty texts and items match nothing;
     rows repeated in either table change nothing; items without an id are left out; several texts under
     one item_id are items of their own and the best of them counts. The window nearest the start wins ties.
+    ``radius`` holds for whole windows of distinct shingles and items of at least ``least_shingles`` distinct ones.
     """
     worded = items.select("item_id", "text").where("item_id IS NOT NULL").distinct().withColumn(
         "width", F.least(F.size(words_of(F.lower("text"))), F.lit(SHINGLE))
@@ -69,9 +82,10 @@ def leaks(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) ->
         _item_hashes(worded, widths).withColumn("fp", F.expr(_SIMHASH))
         .withColumn("version", F.xxhash64("item_id", "hashes")).dropDuplicates(["item_id", "version"]), "items",
     )
-    sizes = known.select(
-        "item_id", "version", "width", F.size("hashes").alias("size"), F.col("fp").alias("item_fp")
-    )
+    sizes = stage(known.select(
+        "item_id", "version", "width", F.size("hashes").alias("size"), F.col("fp").alias("item_fp"),
+        (~_repeats("hashes") & (F.size("hashes") >= least_shingles)).alias("regular"),
+    ), "sizes")
     shingles = stage(
         known.select("item_id", "version", "width", F.explode("hashes").alias("h"))
         .groupBy("item_id", "version", "width", "h").agg(F.count(F.lit(1)).alias("weight")), "shingles",
@@ -104,7 +118,8 @@ def leaks(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) ->
     ))
     window = ["digest", "width", "size", "start"]
     pairs = stage(
-        per_item.select("digest", "width", "size", F.explode(starts).alias("start"), "item_id", "version", "item_fp"),
+        per_item.select(
+            "digest", "width", "size", F.explode(starts).alias("start"), "item_id", "version", "item_fp", "regular"),
         "pairs",
     )
     wide = stage(
@@ -124,11 +139,18 @@ def leaks(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) ->
             "digest", "width", "size", "start", F.expr("slice(all, start + 1, size)").alias("hashes")
         )
         cut = windows if cut is None else cut.unionAll(windows)
-    printed = stage(cut.withColumn("fp", F.expr(_SIMHASH)), "printed")
+    odd = _repeats("hashes") | (F.size("hashes") < F.col("size"))
+    printed = stage(cut.withColumns({"fp": F.expr(_SIMHASH), "odd": odd}), "printed")
 
     bits = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))
-    weights = pairs.join(printed, window).select(
-        *window, "item_id", "version", bits.alias("bits"), F.size("hashes").alias("inside"), F.explode("hashes").alias("h")
+    plan, pair = search_plan(radius, segments), [*window, "item_id", "version", bits.alias("bits")]
+    probes = balls(entries(sizes.where("regular").drop("regular"), "item_fp", plan), plan)
+    near = entries(printed.where("NOT odd").select(*window, "fp"), "fp", plan).join(
+        probes, ["segment", "key", "width", "size"]
+    ).where(bits <= radius).select(*pair).distinct()
+    listed = pairs.join(printed.select(*window, "fp", "odd"), window).where("odd OR NOT regular").select(*pair)
+    weights = near.unionAll(listed).join(printed.select(*window, "hashes"), window).select(
+        *window, "item_id", "version", "bits", F.size("hashes").alias("inside"), F.explode("hashes").alias("h")
     ).groupBy(*window, "item_id", "version", "bits", "inside", "h").agg(F.count(F.lit(1)).alias("own"))
     common = weights.join(shingles, ["item_id", "version", "width", "h"]).groupBy(
         *window, "item_id", "version", "bits", "inside"

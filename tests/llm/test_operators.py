@@ -74,6 +74,41 @@ def test_windows_at_any_fingerprint_distance_are_found(spark):
     assert max(r["bits"] for r in found) > 20
 
 
+@pytest.mark.parametrize("size", [12, 13, 20, 40, 120])
+def test_the_radius_holds_similar_windows(size):
+    """Fingerprints of random distinct shingles: windows at the least similarity against all windows."""
+    rng = np.random.default_rng(size)
+    kept = -(-8 * size * 2 // 18)
+    missed, trials = 0, 2_000
+    for _ in range(trials):
+        hashes = rng.integers(0, 2**63, size + size - kept, np.uint64) * np.uint64(2) + rng.integers(0, 2, 1, np.uint64)
+        bits = (hashes[:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)
+        item, window = bits[:size], np.concatenate([bits[:kept], bits[size:]])
+        apart = ((2 * item.sum(0) > size) != (2 * window.sum(0) > size)).sum()
+        missed += apart > decontamination.RADIUS
+    assert missed <= trials // 500
+
+
+def test_windows_meet_items_through_the_blocks(spark, monkeypatch):
+    """Whole windows of distinct shingles are found by the blocks alone."""
+    rng = random.Random(2)
+    words = [f"w{i}" for i in range(4_000)]
+    items = [(i, " ".join(rng.sample(words, 40))) for i in range(40)]
+    docs = []
+    for i, text in items:
+        copied = text.split()
+        copied[rng.choice([0, 39])] = "changed"
+        docs.append((i, " ".join([*rng.sample(words, 60), *copied, *rng.sample(words, 60)])))
+    spans = decontamination.leaks(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    found = {r["item_id"]: r["bits"] for r in spans.collect()}
+    assert found.keys() == set(range(40)) and max(found.values()) <= decontamination.RADIUS
+    nothing = decontamination.leaks(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"),
+        radius=0)
+    assert nothing.count() < 40
+
+
 def test_no_documents_or_items_give_no_leaks(spark, edge_docs, no_docs):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontamination.contaminated(edge_docs, none).count() == 0
