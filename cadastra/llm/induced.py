@@ -35,7 +35,8 @@ class Disk:
             found = np.empty(size, kind)
         else:
             self.made += 1
-            found = np.memmap(os.path.join(self.folder, f"{self.made}.bin"), kind, "w+", shape=(size,))
+            mapped = np.memmap(os.path.join(self.folder, f"{self.made}.bin"), kind, "w+", shape=(size,))
+            found = mapped.view(np.ndarray)  # plain views of it cost less to cut
         if fill is not None:
             found[:] = fill
         return found
@@ -115,10 +116,17 @@ def common_prefix(text: np.ndarray, left: np.ndarray, right: np.ndarray, cap: in
 
 def _grouped(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Stable order by symbol; and, in that order, firsts of groups, group sizes, rank within the group."""
-    order = np.argsort(symbols, kind="stable")
+    if not len(symbols):
+        return (np.zeros(0, np.int64),) * 4
+    # Symbols of 16 bits are sorted by digits instead of by comparison.
+    order = np.argsort(symbols.astype(np.uint16) if symbols.max() < 1 << 16 else symbols, kind="stable")
     ordered = symbols[order]
-    firsts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    sizes = np.diff(np.append(firsts, len(ordered)))
+    begins = np.ones(len(ordered), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=begins[1:])
+    firsts = np.flatnonzero(begins)
+    sizes = np.empty(len(firsts), np.int64)
+    np.subtract(firsts[1:], firsts[:-1], out=sizes[:-1])
+    sizes[-1] = len(ordered) - firsts[-1]
     return order, firsts, sizes, np.arange(len(ordered)) - np.repeat(firsts, sizes)
 
 
@@ -154,12 +162,12 @@ def _chained(shared: np.ndarray, sources: np.ndarray, order, firsts, sizes, symb
     head[firsts] = True
     rest = np.flatnonzero(~head)
     found[rest] = least.of(at[rest - 1] + 1, at[rest])
-    kinds = symbols[order][firsts]
-    found[firsts] = np.minimum(running[kinds], least.of(np.zeros(len(firsts), np.int64), at[firsts]))
+    kinds = symbols[order[firsts]]
+    found[firsts] = np.minimum(running[kinds], np.minimum.accumulate(shared)[at[firsts]])
     np.minimum(running, shared.min(), out=running)
     last = at[firsts + sizes - 1]
-    top = len(shared) - 1
-    running[kinds] = np.where(last < top, least.of(np.minimum(last + 1, top), np.full(len(last), top)), np.iinfo(shared.dtype).max)
+    after = np.append(np.minimum.accumulate(shared[::-1])[::-1], np.iinfo(shared.dtype).max)
+    running[kinds] = after[last + 1]
     return found
 
 
@@ -172,7 +180,7 @@ def induce(part: Typed, seeds: np.ndarray, disk: Disk, shared: np.ndarray | None
     queue = disk.array(size, np.int64, -1)
     prefixes = disk.array(size + 1, np.int32, 0) if shared is not None else None
     order, firsts, sizes, rank = _grouped(text[seeds].astype(np.int64))
-    kinds = text[seeds[order]][firsts].astype(np.int64) if len(seeds) else np.zeros(0, np.int64)
+    kinds = text[seeds[order[firsts]]].astype(np.int64)
     slots = np.repeat(part.ends[kinds] - sizes, sizes) + rank
     queue[slots] = seeds[order]
     seeded = np.zeros(len(part.ends), np.int64)
@@ -196,21 +204,20 @@ def induce(part: Typed, seeds: np.ndarray, disk: Disk, shared: np.ndarray | None
         before = block[filled] - 1
         pushes = np.flatnonzero((before >= 0) & ~smaller[np.maximum(before, 0)])
         symbols = text[before[pushes]].astype(np.int64)
-        order, firsts, sizes, rank = _grouped(symbols) if len(pushes) else (pushes,) * 4
-        kinds = symbols[order][firsts]
-        slots = np.repeat(head[kinds], sizes) + rank
-        if len(slots) and slots.min() < high:
-            high = int(slots.min())
+        # The first push to a symbol takes its head, so the least head is where the stretch has to end.
+        lowest = int(head[symbols].min()) if len(symbols) else high
+        if lowest < high:
+            high = lowest
             keep = np.searchsorted(filled, high - low)
             filled = filled[:keep]
-            pushes = pushes[pushes < keep]
+            pushes = pushes[:np.searchsorted(pushes, keep)]
             symbols = symbols[:len(pushes)]
-            order, firsts, sizes, rank = _grouped(symbols) if len(pushes) else (pushes,) * 4
-            kinds = symbols[order][firsts]
-            slots = np.repeat(head[kinds], sizes) + rank
             step = max(256, 2 * (high - low))
         else:
             step = min(_STRETCH, step * 2)
+        order, firsts, sizes, rank = _grouped(symbols)
+        kinds = symbols[order[firsts]]
+        slots = np.repeat(head[kinds], sizes) + rank
         if prefixes is not None and len(filled):
             popped = np.array(prefixes[low:high])[filled]
             # The first seed of a bucket after its L suffixes: what both have in common is compared.
@@ -244,19 +251,17 @@ def induce(part: Typed, seeds: np.ndarray, disk: Disk, shared: np.ndarray | None
         pushes = np.flatnonzero(known & smaller[np.maximum(before, 0)])
         symbols = text[before[pushes]].astype(np.int64)
         # A smaller suffix is pushed from a larger symbol, or from an S suffix of its own.
-        order, firsts, sizes, rank = _grouped(symbols) if len(pushes) else (pushes,) * 4
-        kinds = symbols[order][firsts]
-        slots = np.repeat(tail[kinds], sizes) - 1 - rank
-        if len(slots) and slots.max() >= low:
-            low = int(slots.max()) + 1
-            pushes = pushes[pushes < top - low]
+        highest = int(tail[symbols].max()) if len(symbols) else low
+        if highest > low:
+            low = highest
+            pushes = pushes[:np.searchsorted(pushes, top - low)]
             symbols = symbols[:len(pushes)]
-            order, firsts, sizes, rank = _grouped(symbols) if len(pushes) else (pushes,) * 4
-            kinds = symbols[order][firsts]
-            slots = np.repeat(tail[kinds], sizes) - 1 - rank
             step = max(256, 2 * (top - low))
         else:
             step = min(_STRETCH, step * 2)
+        order, firsts, sizes, rank = _grouped(symbols)
+        kinds = symbols[order[firsts]]
+        slots = np.repeat(tail[kinds], sizes) - 1 - rank
         block = block[:top - low]
         if prefixes is not None:
             # head is where L suffixes end and S suffixes begin.
@@ -283,11 +288,13 @@ def induce(part: Typed, seeds: np.ndarray, disk: Disk, shared: np.ndarray | None
     return queue, prefixes
 
 
-def _named(part: Typed, ordered: np.ndarray, leftmost: np.ndarray) -> tuple[np.ndarray, int]:
+def _named(part: Typed, ordered: np.ndarray, leftmost: np.ndarray, disk: Disk) -> tuple[np.ndarray, int]:
     """Names of the stretches between leftmost S suffixes, in order of the text, equal for equal ones."""
     following = np.append(leftmost[1:], len(part.text))
     lengths = following - leftmost + 1  # the next one's first symbol belongs to the stretch
-    at = np.searchsorted(leftmost, ordered)
+    number = disk.array(len(part.text), np.int32)
+    number[leftmost] = np.arange(len(leftmost), dtype=np.int32)
+    at = number[ordered]
     size = lengths[at]
     same = size[1:] == size[:-1]
     last_open = following[at] >= len(part.text)
@@ -318,7 +325,7 @@ def _ordered_leftmost(part: Typed, leftmost: np.ndarray, disk: Disk) -> np.ndarr
         block[marked[block]] for block in
         (np.array(roughly[at:at + _STRETCH]) for at in range(0, len(roughly), _STRETCH))
     ])
-    names, kinds = _named(part, ordered, leftmost)
+    names, kinds = _named(part, ordered, leftmost, disk)
     if kinds == len(leftmost):
         return ordered
     reduced = typed(names, kinds, disk)
@@ -334,6 +341,7 @@ def suffixes(text: np.ndarray, kinds: int, cap: int, folder: str | None = None):
     """
     if not len(text):
         return np.zeros(0, np.int64), np.zeros(0, np.int32)
+    text = np.asarray(text)
     with tempfile.TemporaryDirectory(dir=folder) as scratch:
         disk = Disk(scratch)
         part = typed(text, kinds, disk)

@@ -226,24 +226,20 @@ class _Shard:
 
 
 def _sorted_shards(cut: DataFrame, shards: int, length: int) -> DataFrame:
-    """(piece, first, end) for all shards; the rows of a shard arrive together and go to its file."""
+    """(piece, first, end) for all shards; a partition is one shard, whose rows go to its file as they arrive."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, number = None, None
+        shard = None
         for batch in batches:
+            shard = shard or _Shard()
             for row in batch.to_pylist():
-                if row["shard"] != number:
-                    if shard:
-                        yield shard.repeated(length)
-                    shard, number = _Shard(), row["shard"]
                 shard.add(row["piece"], row["base"], row["size"], row["data"])
         if shard:
             yield shard.repeated(length)
 
-    dealt = cut.withColumn("shard", F.pmod(F.xxhash64("core"), F.lit(shards)))
-    return dealt.repartition(shards, "shard").sortWithinPartitions("shard").select(
-        "shard", "piece", "base", "size", "data"
-    ).mapInArrow(work, "piece binary, first int, end int")
+    # The number of the shard is the number of its partition, so no two shards meet in a task.
+    dealt = cut.repartitionById(shards, F.pmod(F.xxhash64("core"), F.lit(shards)).cast("int"))
+    return dealt.select("piece", "base", "size", "data").mapInArrow(work, "piece binary, first int, end int")
 
 
 def _crowded(cut: DataFrame, length: int) -> DataFrame:
