@@ -52,7 +52,8 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents are inserted, copies of a text deleted, and counts revised without symbol runs.
 
-    The first batch is sent twice, as after a failure; the second sending must add nothing.
+    The first batch is sent twice, as after a failure; the second sending must add nothing. The first two
+    batches are rolled up into a snapshot, and the first is sent once more.
     """
     docs = read_table(spark, sf_dir, "documents")
     cleaned = F.regexp_replace(F.coalesce("text", F.lit("")), r"[#*$%&|]+", " ")
@@ -76,7 +77,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     deletes = changes(marked.where("copy"), ("words-1", "words", None), ("pieces-2", "pieces", None))
     revised = changes(marked.where("NOT copy AND words <> revised"), ("words-1", "words", "revised"))
     rollup = token_counts.TokenRollup(spark, scratch_path(spark, "token-rollup"))
-    for batch_id, batch in (("load", inserts), ("copies", deletes), ("load", inserts), ("revise", revised)):
+    for batch_id, batch in (("load", inserts), ("copies", deletes)):
+        rollup.commit(batch_id, batch)
+    rollup.compact()
+    for batch_id, batch in (("load", inserts), ("revise", revised)):
         rollup.commit(batch_id, batch)
     return rollup.totals()
 

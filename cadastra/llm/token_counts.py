@@ -3,8 +3,13 @@
 A change carries the old and the new count of a document under a tokenizer version: an insert has no
 old count, a delete no new one, a revision both. A batch of changes becomes one small table of additive
 differences, which a rename publishes under its batch id. A batch that is committed already is skipped,
-so a repeated or resumed run adds nothing; totals are the sum over committed batches and never need the
-documents again.
+so a repeated or resumed run adds nothing.
+
+Totals are the newest snapshot plus the batches committed since; they never need the documents again.
+:meth:`TokenRollup.compact` rolls those batches up into the next snapshot. A snapshot lists the batches it holds and
+is committed by an empty marker file made last, so a run killed at any step leaves totals as they were. What a
+snapshot has made needless is deleted one snapshot later, so readers may finish; of a batch its ``_SUCCESS`` file
+stays, by which the batch is known as committed.
 """
 
 from __future__ import annotations
@@ -15,6 +20,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cadastra.plans.versions import _mark, _names
 from cadastra.shared import remove_path
 
 KEYS = ("source", "lang", "tokenizer")
@@ -34,7 +40,10 @@ def differences(changes: DataFrame) -> DataFrame:
 
 
 class TokenRollup:
-    """Committed batches of differences in a folder that all executors share."""
+    """Committed batches of differences, and snapshots of their totals, in a folder that all executors share.
+
+    Any number of writers may commit batches, one at a time may compact.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
@@ -72,14 +81,67 @@ class TokenRollup:
             return False
         return True
 
+    def snapshots(self) -> list[str]:
+        """Committed snapshots, oldest first."""
+        return _names(self.spark, f"{self.folder}/snapshots")
+
+    def _held(self, snapshot: str) -> set[str]:
+        """Ids of the batches in a snapshot."""
+        rows = self.spark.read.schema("batch string").parquet(f"{self.folder}/rolled/{snapshot}/held").collect()
+        return {row["batch"] for row in rows}
+
+    def _state(self) -> tuple[DataFrame, set[str]]:
+        """Totals, and the ids of the batches in them: those of the newest snapshot and those committed since."""
+        newest = self.snapshots()[-1:]
+        held = self._held(newest[0]) if newest else set()
+        since = {name.removeprefix("batch=") for name in _names(self.spark, f"{self.folder}/batches")} - held
+        paths = [f"{self.folder}/rolled/{name}/totals" for name in newest] + [self._batch(name) for name in sorted(since)]
+        if not paths:
+            return self.spark.createDataFrame([], _SCHEMA), set()
+        # Each path is a whole table; the folder's name is no column of it.
+        added = self.spark.read.schema(_SCHEMA).parquet(*paths)
+        summed = added.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
+        return summed.where("n_docs <> 0 OR n_tokens <> 0"), held | since
+
     def totals(self) -> DataFrame:
         """(source, lang, tokenizer, n_docs, n_tokens) over all committed batches; spent keys go."""
-        fs, target = self._fs(f"{self.folder}/batches")
-        if not fs.exists(target) or not fs.listStatus(target):
-            return self.spark.createDataFrame([], _SCHEMA)
-        added = self.spark.read.schema(_SCHEMA).parquet(f"{self.folder}/batches/batch=*")
-        summed = added.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
-        return summed.where("n_docs <> 0 OR n_tokens <> 0")
+        return self._state()[0]
+
+    def compact(self) -> bool:
+        """Roll the batches since the newest snapshot up into the next; False, and nothing done, if there are none."""
+        before = self.snapshots()
+        totals, held = self._state()
+        old = self._held(before[-1]) if before else set()
+        if held == old:
+            return False
+        number = int(before[-1].split("-")[0]) + 1 if before else 1
+        name = f"{number:012d}-{uuid.uuid4().hex}"
+        totals.coalesce(1).write.option("compression", "zstd").parquet(f"{self.folder}/rolled/{name}/totals")
+        listed = self.spark.createDataFrame([(batch,) for batch in sorted(held)], "batch string")
+        listed.coalesce(1).write.parquet(f"{self.folder}/rolled/{name}/held")
+        self._publish(name)
+        self._clean(before, old)
+        return True
+
+    def _publish(self, snapshot: str) -> None:
+        _mark(self.spark, f"{self.folder}/snapshots/{snapshot}")
+
+    def _clean(self, before: list[str], old: set[str]) -> None:
+        """Delete the data of batches that the snapshot before the newest holds, and older snapshots, markers first."""
+        for batch in sorted(old):
+            names = _names(self.spark, self._batch(batch))
+            if names != ["_SUCCESS"]:
+                if "_SUCCESS" not in names:
+                    _mark(self.spark, f"{self._batch(batch)}/_SUCCESS")
+                for name in names:
+                    if name != "_SUCCESS":
+                        remove_path(self.spark, f"{self._batch(batch)}/{name}")
+        for snapshot in before[:-1]:
+            remove_path(self.spark, f"{self.folder}/snapshots/{snapshot}")
+        kept = set(self.snapshots())
+        for snapshot in _names(self.spark, f"{self.folder}/rolled"):
+            if snapshot not in kept:
+                remove_path(self.spark, f"{self.folder}/rolled/{snapshot}")
 
 
 def word_tokens(text: str = "text"):

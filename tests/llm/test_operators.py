@@ -451,6 +451,45 @@ def test_a_batch_that_lost_the_race_adds_nothing(spark, monkeypatch):
     assert tuples(rollup.totals()) == [("a", "en", "v1", 1, 5)]
 
 
+def test_rolled_up_totals_survive_a_kill_at_each_step(spark, monkeypatch):
+    schema = "source string, lang string, tokenizer string, old_tokens long, new_tokens long"
+    rollup = token_counts.TokenRollup(spark, scratch_path(spark, "rollup"))
+    assert not rollup.compact()
+    batch = {n: spark.createDataFrame([("a", None, "v1", None, n), (f"s{n}", "en", "v1", None, 1)], schema) for n in range(1, 5)}
+    gone = spark.createDataFrame([("s1", "en", "v1", 1, None)], schema)
+
+    def check(*numbers, less=()):
+        expected = [("a", None, "v1", len(numbers), sum(numbers))]
+        same(tuples(rollup.totals()), expected + [(f"s{n}", "en", "v1", 1, 1) for n in numbers if n not in less])
+
+    def killed(*_):
+        raise KeyboardInterrupt
+
+    rollup.commit("b1", batch[1])
+    rollup.commit("b2", batch[2])
+    for step in ("_publish", "_clean"):
+        with monkeypatch.context() as patch:
+            patch.setattr(token_counts.TokenRollup, step, killed)
+            with pytest.raises(KeyboardInterrupt):
+                rollup.compact()
+        check(1, 2)
+    assert len(rollup.snapshots()) == 1 and not rollup.compact()
+    rollup.commit("gone", gone)
+    reader = rollup.totals()
+    assert rollup.compact()
+    same(tuples(reader), tuples(rollup.totals()))
+    rollup.commit("b3", batch[3])
+    assert rollup.compact() and len(rollup.snapshots()) == 2
+    check(1, 2, 3, less=(1,))
+    assert not any(rollup.commit(f"b{n}", batch[n]) for n in (1, 2, 3))
+    rollup.commit("b4", batch[4])
+    check(1, 2, 3, 4, less=(1,))
+    # Batches of the snapshot before the newest are spent, later ones are whole.
+    left = {n: token_counts._names(spark, f"{rollup.folder}/batches/batch=b{n}") for n in (1, 3)}
+    assert left[1] == ["_SUCCESS"] and len(left[3]) > 1
+    assert len(token_counts._names(spark, f"{rollup.folder}/rolled")) == 2
+
+
 def test_token_versions(edge_docs, rows_given):
     counted = edge_docs.select("doc_id", token_counts.word_tokens().alias("n"))
     same(tuples(counted), [(doc_id, len(plain.words(text))) for doc_id, text in rows_given])
@@ -525,6 +564,21 @@ def test_rules_are_judged_and_skipped_by_their_raw_conditions(edge_docs):
         assert measured.where(~F.col(name).eqNullSafe(quality.measure(name))).count() == 0
 
 
+def test_rule_order_is_by_rejections_per_step_and_repeatable(spark):
+    docs = spark.createDataFrame([(i, "word " * (10 if i % 2 else 60)) for i in range(40)], "doc_id long, text string")
+    half = F.length("text") < 100
+    rules = [
+        quality.Rule("dear", half, half, ("words", "windows")), quality.Rule("idle", F.lit(False), F.lit(False), ()),
+        quality.Rule("b", half, half, ("words",)), quality.Rule("a", half, half, ("words",)),
+    ]
+    for order in (rules, rules[::-1]):
+        assert [rule.name for rule in quality.ordered_by_yield(docs, order)] == [
+            "a", "b", "dear", "idle"]
+    steps = {rule.name: rule.steps for rule in [*quality.base_rules(), *quality.prose_rules()]}
+    assert steps["repeated_words"] == ("words", "windows") and steps["shouting"] == ("scan", "words", "word_chars")
+    assert set().union(*steps.values()) == set(quality.STEPS)
+
+
 def test_quality_of_no_documents(no_docs):
     assert quality.apply_rules(no_docs).count() == 0
 
