@@ -7,7 +7,8 @@ verified. With three segments and radius 4: one bit in either of the first two,
 
 * Only distinct fingerprints are linked; texts are read once and never shuffled.
 * A segment value shared by more than ``block`` fingerprints is dealt out over many tasks, both sides
-  salted; each returns a spanning forest of its links, not all pairs. Nothing is capped.
+  salted; each returns a spanning forest of its links, not all pairs. One shared by more than ``parts`` blocks
+  is searched by balls and tables again, over the bits outside the segment. Nothing is capped.
 """
 
 from __future__ import annotations
@@ -23,12 +24,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cadastra.llm.components import components
-from cadastra.llm.hamming import BITS, balls, entries, search_plan
+from cadastra.llm.hamming import BITS, balls, entries, rest, search_plan
 from cadastra.shared import stage
 
 SEED = 42
 # Hashes whose bits are counted at once.
 _CHUNK = 1 << 15
+# Distinct fingerprints up to which three segments are taken.
+WIDE = 100_000_000
+# Bits outside a segment from which a large cell is searched by them.
+LEAST_BITS = 24
 
 
 def fingerprint(text: str | None, shingle: int = 4) -> int:
@@ -86,39 +91,60 @@ def _forest(radius: int):
     return grow
 
 
-def links(fps: DataFrame, radius: int = 4, segments: int = 3, block: int = 512) -> DataFrame:
+def links(fps: DataFrame, radius: int = 4, segments: int | None = None, block: int = 512, parts: int = 32) -> DataFrame:
     """(a, b) connecting all distinct values of the long column ``fp`` within ``radius`` bits.
 
     Pairs need not be all pairs: what is connected by links is connected by the pairs returned, and
-    nothing else. More than ``segments`` shortens the balls, fewer lengthens the keys: 3 suits up to
-    some 10^8 distinct fingerprints, 2 (529 and 33 probes on 32-bit keys) beyond.
+    nothing else. More than ``segments`` shortens the balls, fewer lengthens the keys; where None, 3 are taken up
+    to ``WIDE`` fingerprints and 2 (529 and 33 probes on 32-bit keys) beyond.
     """
-    plan = search_plan(radius, segments)
-    listed = entries(fps.select("fp"), "fp", plan)
-    crowded = stage(
-        listed.groupBy("segment", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block), "crowded"
-    )
-    # Every value whose ball meets a crowded one: how many parts its entries and its probes need.
-    around = balls(crowded, plan)
-    probes = around.groupBy("segment", "key").agg(F.sum("n").alias("probes"))
+    if segments is None:
+        segments = 3 if fps.count() <= WIDE else 2
+    values = fps.select(F.lit("").alias("within"), F.col("fp").alias("value"), "fp")
+    return _search(values, values, BITS, radius, segments, block, parts)
+
+
+def _search(
+    held: DataFrame, sought: DataFrame, width: int, radius: int, segments: int, block: int, parts: int
+) -> DataFrame:
+    """Links (a, b) between rows of two tables (within, value, fp) of equal ``within`` and ``width``-bit values.
+
+    Cells are values of a segment. Those of at most ``block`` held rows are joined with what probes them, those of
+    up to ``parts`` blocks are dealt out, and larger ones are searched again by the bits outside the segment.
+    So the rows moved grow with the fingerprints, not with the square of a cell. Where few bits are
+    left, a cell has at most two to their number of rows, and is dealt out.
+    """
+    plan, cell = search_plan(radius, segments, width), ["within", "segment", "key"]
+    left = width - min(w for _, w, _ in plan)
+    listed = entries(held, "value", plan)
+    probing = balls(entries(sought, "value", plan), plan)
+    crowded = stage(listed.groupBy(cell).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block), "crowded")
+    # Every cell whose ball meets a crowded one: how many parts its rows and its probes need.
+    probes = balls(crowded, plan).groupBy(cell).agg(F.sum("n").alias("probes"))
     hot = stage(
-        probes.join(crowded, ["segment", "key"], "left").select(
-            "segment", "key",
+        probes.join(crowded, cell, "left").select(
+            *cell,
             F.ceil(F.coalesce("n", F.lit(1)) / block).cast("int").alias("entry_parts"),
             (F.ceil(F.col("probes") / (8 * block)) + 1).cast("int").alias("probe_parts"),
         ), "hot",
     )
-    near = F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= radius
-    probing = balls(listed, plan)
+
+    def joined(entered: DataFrame, probed: DataFrame) -> DataFrame:
+        near = F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= radius
+        met = entered.select(*cell, "fp").join(probed.select(*cell, F.col("fp").alias("other")), cell)
+        return met.where((F.col("fp") < F.col("other")) & near).select(F.col("fp").alias("a"), F.col("other").alias("b"))
+
     if hot.isEmpty():
-        return listed.join(probing.withColumnRenamed("fp", "other"), ["segment", "key"]).where(
-            (F.col("fp") < F.col("other")) & near
-        ).select(F.col("fp").alias("a"), F.col("other").alias("b"))
-    marked = listed.join(hot, ["segment", "key"], "left")
-    probing = probing.join(hot, ["segment", "key"], "left")
-    cold = marked.where("entry_parts IS NULL").join(
-        probing.where("entry_parts IS NULL").select("segment", "key", F.col("fp").alias("other")), ["segment", "key"]
-    ).where((F.col("fp") < F.col("other")) & near).select(F.col("fp").alias("a"), F.col("other").alias("b"))
+        return joined(listed, probing)
+    marked, probing = listed.join(hot, cell, "left"), probing.join(hot, cell, "left")
+    found = joined(marked.where("entry_parts IS NULL"), probing.where("entry_parts IS NULL"))
+    deeper = F.col("entry_parts") > parts
+    if left <= LEAST_BITS or hot.where(deeper).isEmpty():
+        deeper = F.lit(False)
+    else:
+        inner = F.concat_ws(":", *cell).alias("within"), rest("value", plan).alias("value"), "fp"
+        again = [stage(df.where(deeper).select(*inner), "cells") for df in (marked, probing)]
+        found = found.unionAll(_search(*again, left, radius, segments, block, parts))
 
     def part(count: str, seed: int) -> Column:
         return F.pmod(F.xxhash64("fp", F.lit(seed)), F.col(count)).cast("int")
@@ -126,19 +152,17 @@ def links(fps: DataFrame, radius: int = 4, segments: int = 3, block: int = 512)
     def every(count: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
 
-    dealt = marked.where("entry_parts IS NOT NULL").select(
-        "segment", "key", part("entry_parts", 1).alias("i"), every("probe_parts").alias("j"), "fp"
+    shallow = F.col("entry_parts").isNotNull() & ~deeper
+    dealt = marked.where(shallow).select(
+        *cell, part("entry_parts", 1).alias("i"), every("probe_parts").alias("j"), "fp"
     ).unionAll(
-        probing.where("entry_parts IS NOT NULL").select(
-            "segment", "key", every("entry_parts").alias("i"), part("probe_parts", 2).alias("j"), "fp"
-        )
+        probing.where(shallow).select(*cell, every("entry_parts").alias("i"), part("probe_parts", 2).alias("j"), "fp")
     )
-    grown = dealt.groupBy("segment", "key", "i", "j").applyInPandas(_forest(radius), "a long, b long")
-    return cold.unionAll(grown)
+    return found.unionAll(dealt.groupBy(*cell, "i", "j").applyInPandas(_forest(radius), "a long, b long"))
 
 
 def near_duplicates(
-    docs: DataFrame, radius: int = 4, shingle: int = 4, segments: int = 3, block: int = 512
+    docs: DataFrame, radius: int = 4, shingle: int = 4, segments: int | None = None, block: int = 512
 ) -> DataFrame:
     """One row per input row: doc_id, fingerprint (16 hex digits), component_id.
 
@@ -154,7 +178,7 @@ def near_duplicates(
     )
 
 
-def representatives(printed: DataFrame, radius: int = 4, segments: int = 3, block: int = 512) -> DataFrame:
+def representatives(printed: DataFrame, radius: int = 4, segments: int | None = None, block: int = 512) -> DataFrame:
     """(fp, root, component_id) of every distinct fingerprint of ``printed`` (doc_id, fp).
 
     ``root`` is the least fingerprint of the component, ``component_id`` its smallest doc_id.
@@ -170,7 +194,7 @@ def representatives(printed: DataFrame, radius: int = 4, segments: int = 3, bloc
     )
 
 
-def one_of_each(docs: DataFrame, radius: int = 4, shingle: int = 4, segments: int = 3, block: int = 512) -> DataFrame:
+def one_of_each(docs: DataFrame, radius: int = 4, shingle: int = 4, segments: int | None = None, block: int = 512) -> DataFrame:
     """One row of ``docs`` per component, in its own columns: that with the smallest doc_id.
 
     Among rows that share that id, or in a component without any id, the least of the rows' digests

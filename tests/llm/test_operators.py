@@ -391,6 +391,34 @@ def test_links_connect_what_all_pairs_connect(spark, segments, block):
         map(sorted, plain.by_key((root, p) for p, root in expected.items()).values()))
 
 
+@pytest.mark.parametrize("segments, block, parts", [(2, 8, 1), (3, 8, 1), (3, 4, 3), (4, 8, 1)])
+def test_crowded_values_are_searched_by_their_other_bits(spark, segments, block, parts):
+    """One value of a segment held by many, close in their other bits too: several levels down."""
+    rng = random.Random(segments)
+    shared, centre = rng.getrandbits(64), rng.getrandbits(64)
+    low = (1 << 22) - 1
+    prints = {shared & low | rng.getrandbits(42) << 22 for _ in range(150)}
+    prints |= {centre ^ sum(1 << bit for bit in rng.sample(range(44, 64), rng.randrange(1, 9))) for _ in range(150)}
+    for base in list(prints)[:40]:
+        prints.add(base ^ sum(1 << bit for bit in rng.sample(range(64), rng.randrange(1, 6))))
+    signed = {p: p - (1 << 64) if p >> 63 else p for p in prints}
+    table = spark.createDataFrame([(p,) for p in signed.values()], "fp long")
+    linked = [(r["a"] % 2**64, r["b"] % 2**64) for r in simhash.links(table, 4, segments, block, parts).collect()]
+    parent = {p: p for p in prints}
+
+    def root(p):
+        while parent[p] != p:
+            p = parent[p]
+        return p
+
+    for a, b in linked:
+        low, high = sorted((root(a), root(b)))
+        parent[high] = low
+    found, expected = plain.by_key((root(p), p) for p in prints), plain.groups(prints)
+    assert sorted(map(sorted, found.values())) == sorted(
+        map(sorted, plain.by_key((home, p) for p, home in expected.items()).values()))
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(50)] + [(7, 7), (5, 4), (200, 201), (201, 200)]
     found = dict(tuples(components.components(spark.createDataFrame(edges, "a long, b long"))))
