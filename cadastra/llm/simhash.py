@@ -91,7 +91,7 @@ def _forest(radius: int):
     return grow
 
 
-def links(fps: DataFrame, radius: int = 4, segments: int | None = None, block: int = 512, parts: int = 32) -> DataFrame:
+def links(fps: DataFrame, radius: int = 4, segments: int | None = None, block: int = 512, parts: int = 8) -> DataFrame:
     """(a, b) connecting all distinct values of the long column ``fp`` within ``radius`` bits.
 
     Pairs need not be all pairs: what is connected by links is connected by the pairs returned, and
@@ -109,8 +109,8 @@ def _search(
 ) -> DataFrame:
     """Links (a, b) between rows of two tables (within, value, fp) of equal ``within`` and ``width``-bit values.
 
-    Cells are values of a segment. Those of at most ``block`` held rows are joined with what probes them, those of
-    up to ``parts`` blocks are dealt out, and larger ones are searched again by the bits outside the segment.
+    Cells are values of a segment. Those of at most ``block`` held rows are joined with what probes them (Spark
+    splits the probes where they are many), those of up to ``parts`` blocks are dealt out, and larger ones are searched again by the bits outside the segment.
     So the rows moved grow with the fingerprints, not with the square of a cell. Where few bits are
     left, a cell has at most two to their number of rows, and is dealt out.
     """
@@ -119,12 +119,12 @@ def _search(
     listed = entries(held, "value", plan)
     probing = balls(entries(sought, "value", plan), plan)
     crowded = stage(listed.groupBy(cell).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block), "crowded")
-    # Every cell whose ball meets a crowded one: how many parts its rows and its probes need.
+    # How many parts a crowded cell's rows need, and its probes, of which most come from crowded cells around it.
     probes = balls(crowded, plan).groupBy(cell).agg(F.sum("n").alias("probes"))
     hot = stage(
-        probes.join(crowded, cell, "left").select(
+        crowded.join(probes, cell).select(
             *cell,
-            F.ceil(F.coalesce("n", F.lit(1)) / block).cast("int").alias("entry_parts"),
+            F.ceil(F.col("n") / block).cast("int").alias("entry_parts"),
             (F.ceil(F.col("probes") / (8 * block)) + 1).cast("int").alias("probe_parts"),
         ), "hot",
     )
