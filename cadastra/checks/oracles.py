@@ -230,21 +230,27 @@ _PROFILE = " UNION ALL ".join(
 )
 
 def _facts() -> str:
-    """Fill and ends of every fact column, from the expressions the raw files were made of."""
+    """Fill and ends of every fact column, and digests of whole rows, from what the raw files were made of."""
     parts = []
     for name in FACTS:
+        texts = []
         for (_, out, kind), value in zip(STAGING[name].columns, fact_values(STAGING[name]).values()):
             text = kind in ("string", "timestamp_ntz")
             if kind == "timestamp_ntz":
                 value = f"strftime({value}, '%Y-%m-%d')"
             elif kind == "int":
                 value = f"round({value})"
+            texts.append(value if text else f"cast(cast(round(({value})::DOUBLE * 100) as bigint) as varchar)")
             ends = f"NULL::DOUBLE AS least, NULL::DOUBLE AS most, min({value}) AS first_text, max({value}) AS last_text"
             if not text:
                 ends = (f"min({value})::DOUBLE AS least, max({value})::DOUBLE AS most, "
                         "NULL::VARCHAR AS first_text, NULL::VARCHAR AS last_text")
             parts.append(f"SELECT '{name.replace('stg_', 'fact_')}' AS fact, '{out}' AS column_name, "
                          f"count({value}) AS filled, {ends} FROM lineitem")
+        digest = f"('0x' || substr(md5(concat_ws('|', {', '.join(texts)})), 1, 8))::BIGINT"
+        parts.append(f"SELECT '{name.replace('stg_', 'fact_')}' AS fact, 'whole rows' AS column_name, "
+                     "count(*) AS filled, NULL::DOUBLE AS least, NULL::DOUBLE AS most, "
+                     f"sum({digest})::VARCHAR AS first_text, NULL::VARCHAR AS last_text FROM lineitem")
     return " UNION ALL ".join(parts)
 
 

@@ -657,7 +657,10 @@ def q_warehouse_build(spark, sf_dir):
 
 
 def q_warehouse_facts(spark, sf_dir):
-    """The six facts from raw files, each column by its fill and its ends; columns hold unlike values."""
+    """The six facts from raw files, each column by its fill and its ends; columns hold unlike values.
+
+    A row of each fact holds the sum of digests of its whole rows, which tells values that changed places.
+    """
     raw, warehouse, profiles = scratch_path(spark, "raw"), Warehouse(spark, scratch_path(spark, "facts")), None
     for name in standins.FACTS:
         spec = STAGING[name]
@@ -666,8 +669,11 @@ def q_warehouse_facts(spark, sf_dir):
         delimiter = delimiter_by_names(spark, path, [column for column, _, _ in spec.columns])
         fact = name.replace("stg_", "fact_")
         warehouse.publish(fact, project_typed(scan_delimited(spark, path, delimiter).kept, spec.columns))
-        held, columns = warehouse.read(fact), []
+        held, columns, texts = warehouse.read(fact), [], []
         for _, out, kind in spec.columns:
+            texts.append(F.col(out) if kind == "string" else (
+                F.date_format(out, "yyyy-MM-dd") if kind == "timestamp_ntz"
+                else F.round(F.col(out).cast("double") * 100).cast("long").cast("string")))
             number = F.col(out).cast("double") if kind not in ("string", "timestamp_ntz") else F.lit(None).cast("double")
             text = F.col(out) if kind == "string" else (
                 F.date_format(out, "yyyy-MM-dd") if kind == "timestamp_ntz" else F.lit(None).cast("string"))
@@ -676,7 +682,14 @@ def q_warehouse_facts(spark, sf_dir):
                 F.min(number).alias("least"), F.max(number).alias("most"),
                 F.min(text).alias("first_text"), F.max(text).alias("last_text"),
             ).alias(out))
-        profile = held.agg(*columns).select(F.inline(F.array(*[F.col(out) for _, out, _ in spec.columns])))
+        digest = F.conv(F.substring(F.md5(F.concat_ws("|", *texts)), 1, 8), 16, 10).cast("long")
+        columns.append(F.struct(
+            F.lit(fact).alias("fact"), F.lit("whole rows").alias("column_name"), F.count(F.lit(1)).alias("filled"),
+            F.lit(None).cast("double").alias("least"), F.lit(None).cast("double").alias("most"),
+            F.sum(digest).cast("string").alias("first_text"), F.lit(None).cast("string").alias("last_text"),
+        ).alias("_rows"))
+        names = [*[out for _, out, _ in spec.columns], "_rows"]
+        profile = held.agg(*columns).select(F.inline(F.array(*[F.col(out) for out in names])))
         profiles = profile if profiles is None else profiles.unionByName(profile)
     return profiles
 
