@@ -105,3 +105,31 @@ def test_no_rows(spark):
     df = spark.createDataFrame([], "g string, v int, id string")
     assert ordered_totals(df, ["g"], "v", "id").collect() == []
     assert ordered_totals(df, ["g"], "v", "id", strategy="placed").collect() == []
+
+
+def test_small_parts_share_few_tasks(mixed, monkeypatch):
+    monkeypatch.setattr(ordered, "FEW_TASKS", 3)
+    monkeypatch.setattr(ordered, "ROWS_PER_TASK", 500)
+    dealt, deal = [], ordered._parts
+
+    def counted(*given):
+        dealt.append(deal(*given))
+        return dealt[-1]
+
+    monkeypatch.setattr(ordered, "_parts", counted)
+    plain = ordered_totals(mixed, ["g"], "v", "id", strategy="plain")
+    placed = ordered_totals(mixed, ["g"], "v", "id", strategy="placed", rows_per_place=20)
+    assert rows(placed) == rows(plain)
+    sizes = dealt[0].groupBy("_part").agg(F.count("*").alias("n")).collect()
+    assert len({r["_part"] >> 32 for r in sizes}) <= 6 and len(sizes) >= 150 and max(r["n"] for r in sizes) == 20
+
+
+def test_wide_rows_are_cut_by_their_bytes(mixed, monkeypatch):
+    batches = stage(mixed).coalesce(1).toArrow().to_batches(max_chunksize=500)
+    cut = list(ordered._cut(iter(batches), 200_000, batches[0].nbytes))
+    assert len(cut) > 2 and sum(part.num_rows for part in cut) == mixed.count()
+    assert max(part.num_rows for part in cut) <= 1000
+    monkeypatch.setattr(ordered, "PLACE_BYTES", 1)
+    plain = ordered_totals(mixed, [], "v", "id", strategy="plain")
+    placed = ordered_totals(mixed, [], "v", "id", strategy="placed")
+    assert rows(placed) == rows(plain)
