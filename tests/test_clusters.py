@@ -3,6 +3,7 @@ import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+from cadastra.checks.queries import QUERIES
 from cadastra.operators import lloyd
 from cadastra.operators.clusters import choose_k, elbow, kmeans_sweep
 from cadastra.operators.features import categories, feature_table, feature_vectors, one_hot, standardize
@@ -142,3 +143,9 @@ def test_repeated_parcels_are_counted_before_they_are_shuffled(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("partial_count(1)") == plan.count("partial_sum") == 1
+
+
+@pytest.mark.parametrize("name", ["kmeans_properties", "kmeans_assign"])
+def test_labels_of_every_row_are_not_broadcast(spark, name):
+    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
