@@ -1,12 +1,13 @@
 """Joins, audits, warehouse, whole builds, and the shape of the physical plans."""
 
+import os
 from datetime import datetime
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from cadastra.checks import standins
+from cadastra.checks import queries as checked, standins
 from cadastra.checks.queries import RULES, dim_build
 from cadastra.operators.audit import assert_grain, duplicate_keys, fanout_audit, require_columns
 from cadastra.operators.joins import attach, hot_keys, left_enrich
@@ -19,6 +20,7 @@ from cadastra.plans.parcels import DIM_COLUMNS, StudyRules, build_dim_parcels, p
 from cadastra.plans.warehouse import Warehouse, decode_table
 from cadastra.shared import scratch_path, scratch_scope, shared_dir, stage
 from cadastra.sources.contracts import STAGING
+from cadastra.sources.delimited import project_typed, scan_delimited
 from tests.conftest import rows
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -294,3 +296,20 @@ def test_values_are_attached_without_keys(spark):
     left, one = spark.range(3).toDF("n"), spark.createDataFrame([(7, "x")], "a int, b string")
     assert rows(attach(left, one, [])) == [(0, 7, "x"), (1, 7, "x"), (2, 7, "x")]
     assert rows(attach(left, one.limit(0), [])) == [(0, None, None), (1, None, None), (2, None, None)]
+
+
+def test_raw_text_of_facts_is_packed_and_goes_once_published(spark, tmp_path, monkeypatch):
+    spec, packed = STAGING["stg_land"], tmp_path / "land.txt"
+    made = standins.facts(spark, SF_DIR, spec)
+    monkeypatch.setattr(standins, "PACKED_ROWS", 1000)
+    standins.write_raw(made, spec, str(packed), "|")
+    files = list(packed.glob("part-*"))
+    assert len(files) >= made.count() / 1000 and all(f.suffix == ".lz4" for f in files)
+    read = project_typed(scan_delimited(spark, str(packed), "|").kept, spec.columns)
+    assert rows(read) == rows(made)
+
+    paths, path = [], checked.scratch_path
+    monkeypatch.setattr(checked, "scratch_path", lambda *given: paths.append(path(*given)) or paths[-1])
+    assert checked.q_warehouse_facts(spark, SF_DIR).count() == 80
+    raw = [p for p in paths if "/raw-" in p]
+    assert len(raw) == len(standins.FACTS) and not any(os.path.exists(p) for p in raw)
