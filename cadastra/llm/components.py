@@ -2,7 +2,8 @@
 
 Each round is two joins and two partial minima, written to the shared folder, so lineage stays short
 and a lost executor costs one scan. A node of any degree is handled by Spark's skew join and by
-minima taken before the shuffle; no node's neighbours ever meet in one task.
+minima taken before the shuffle; no node's neighbours ever meet in one task. Joins are by merge: the
+files of edges are far smaller than their rows, so their size does not tell what the driver can hold.
 """
 
 from __future__ import annotations
@@ -17,13 +18,13 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node linked to the smallest node around it."""
     both = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return both.join(least.hint("merge"), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Every node and its smaller neighbours linked to the smallest of them. Edges have u > v."""
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    others = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    others = edges.join(least.hint("merge"), "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return others.unionAll(least.select("u", F.col("m").alias("v")))
 
 

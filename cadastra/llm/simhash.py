@@ -9,6 +9,8 @@ verified. With three segments and radius 4: one bit in either of the first two,
 * A segment value shared by more than ``block`` fingerprints is dealt out over many tasks, both sides
   salted; each returns a spanning forest of its links, not all pairs. One shared by more than ``parts`` blocks
   is searched by balls and tables again, over the bits outside the segment. Nothing is capped.
+* Tables with a row or more per fingerprint are joined by merge. Spark sizes them by their packed files, and what is
+  exploded as if it were not, so it would broadcast millions of probes. Crowded values are counted first.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ _CHUNK = 1 << 15
 WIDE = 100_000_000
 # Bits outside a segment from which a large cell is searched by them.
 LEAST_BITS = 24
+# Crowded values, some 130 bytes each to Spark, up to which they are sent to all executors.
+SENT = 500_000
 
 
 def fingerprint(text: str | None, shingle: int = 4) -> int:
@@ -120,7 +124,7 @@ def _search(
     probing = balls(entries(sought, "value", plan), plan)
     crowded = stage(listed.groupBy(cell).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block), "crowded")
     # How many parts a crowded cell's rows need, and its probes, of which most come from crowded cells around it.
-    probes = balls(crowded, plan).groupBy(cell).agg(F.sum("n").alias("probes"))
+    probes = balls(crowded, plan).groupBy(cell).agg(F.sum("n").alias("probes")).hint("merge")
     hot = stage(
         crowded.join(probes, cell).select(
             *cell,
@@ -131,11 +135,14 @@ def _search(
 
     def joined(entered: DataFrame, probed: DataFrame) -> DataFrame:
         near = F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= radius
-        met = entered.select(*cell, "fp").join(probed.select(*cell, F.col("fp").alias("other")), cell)
+        met = entered.select(*cell, "fp").join(probed.select(*cell, F.col("fp").alias("other")).hint("merge"), cell)
         return met.where((F.col("fp") < F.col("other")) & near).select(F.col("fp").alias("a"), F.col("other").alias("b"))
 
-    if hot.isEmpty():
+    cells = hot.count()
+    if not cells:
         return joined(listed, probing)
+    # By rows, not by files: Spark may take the probes, which it sizes too low, for the smaller side.
+    hot = hot.hint("broadcast" if cells <= SENT else "merge")
     marked, probing = listed.join(hot, cell, "left"), probing.join(hot, cell, "left")
     found = joined(marked.where("entry_parts IS NULL"), probing.where("entry_parts IS NULL"))
     deeper = F.col("entry_parts") > parts
@@ -186,10 +193,10 @@ def representatives(printed: DataFrame, radius: int = 4, segments: int | None =
     least = stage(printed.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     linked = stage(links(least.select("fp"), radius, segments, block).distinct(), "links")
     roots = components(linked).withColumnRenamed("node", "fp")
-    members = stage(roots.join(least, "fp"), "members")
+    members = stage(roots.join(least.hint("merge"), "fp"), "members")
     smallest = members.groupBy("root").agg(F.min("least").alias("component_id"))
-    reached = members.join(smallest, "root").select("fp", "root", "component_id")
-    return least.join(reached, "fp", "left").select(
+    reached = members.join(smallest.hint("merge"), "root").select("fp", "root", "component_id")
+    return least.join(reached.hint("merge"), "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component_id", "least").alias("component_id")
     )
 
@@ -208,7 +215,7 @@ def one_of_each(docs: DataFrame, radius: int = 4, shingle: int = 4, segments: in
     narrow = printed.select("doc_id", F.col("__fp").alias("fp"), whole.alias("row"))
     reps = stage(representatives(narrow.select("doc_id", "fp"), radius, segments, block), "representatives")
     # Rows that carry their component's id: usually one, the least by (fingerprint, row) where several.
-    heads = narrow.join(reps, "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    heads = narrow.join(reps.hint("merge"), "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     chosen = stage(
         heads.groupBy("root").agg(F.min(F.struct("fp", "row")).alias("head"))
         .select(F.col("head.fp").alias("__head_fp"), F.col("head.row").alias("__head_row")), "chosen",

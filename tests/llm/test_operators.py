@@ -419,6 +419,31 @@ def test_crowded_values_are_searched_by_their_other_bits(spark, segments, block,
         map(sorted, plain.by_key((home, p) for p, home in expected.items()).values()))
 
 
+def test_tables_of_every_fingerprint_are_never_broadcast(spark, edge_docs, monkeypatch):
+    """Spark sizes probes by the file they are exploded from, and broadcast millions of them."""
+    plans = {}
+
+    def told(df, name="staged", stage=simhash.stage):
+        plans.setdefault(name, []).append(df._jdf.queryExecution().sparkPlan().toString())
+        return stage(df, name)
+
+    monkeypatch.setattr(simhash, "stage", told)
+    monkeypatch.setattr(components, "stage", told)
+    told(simhash.one_of_each(edge_docs), "one of each")
+    rng = random.Random(1)
+    prints = simhash.stage(spark.createDataFrame([(rng.getrandbits(40) << 22,) for _ in range(100)], "fp long"), "prints")
+    told(simhash.links(prints, 4, 3, 8, 50).distinct(), "crowded links")
+    assert {"links", "edges", "members", "crowded", "hot", "representatives"} <= set(plans)
+    # One row per kept document, or crowded value, and no more: Spark may judge those by their files.
+    judged = {"one of each", "crowded links"}
+    assert not [name for name, made in plans.items() if name not in judged and any("Broadcast" in plan for plan in made)]
+    met = [line for line in plans["crowded links"][0].splitlines() if "Broadcast" in line]
+    assert met and all("BuildRight" in line for line in met)
+    monkeypatch.setattr(simhash, "SENT", 0)
+    told(simhash.links(prints, 4, 3, 8, 50).distinct(), "many crowded values")
+    assert "Broadcast" not in plans["many crowded values"][0]
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(50)] + [(7, 7), (5, 4), (200, 201), (201, 200)]
     found = dict(tuples(components.components(spark.createDataFrame(edges, "a long, b long"))))
