@@ -179,8 +179,9 @@ def near_duplicates(
     it has none. Repeated rows each get a row. Other columns are not read.
     """
     printed = stage(with_fingerprint(docs.select("doc_id", "text"), shingle=shingle, name="fp").drop("text"), "fingerprints")
-    reps = representatives(printed, radius, segments, block)
-    return printed.join(reps, "fp").select(
+    # Staged, so that Spark can split the rows of a fingerprint that many documents have.
+    reps = stage(representatives(printed, radius, segments, block), "representatives")
+    return printed.join(reps.hint("merge"), "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 

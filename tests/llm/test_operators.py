@@ -429,6 +429,7 @@ def test_tables_of_every_fingerprint_are_never_broadcast(spark, edge_docs, monke
 
     monkeypatch.setattr(simhash, "stage", told)
     monkeypatch.setattr(components, "stage", told)
+    told(simhash.near_duplicates(edge_docs), "near duplicates")
     told(simhash.one_of_each(edge_docs), "one of each")
     rng = random.Random(1)
     prints = simhash.stage(spark.createDataFrame([(rng.getrandbits(40) << 22,) for _ in range(100)], "fp long"), "prints")
