@@ -1,6 +1,7 @@
 """Joins, audits, warehouse, whole builds, and the shape of the physical plans."""
 
 import os
+import pathlib
 from datetime import datetime
 from decimal import Decimal
 
@@ -313,3 +314,35 @@ def test_raw_text_of_facts_is_packed_and_goes_once_published(spark, tmp_path, mo
     assert checked.q_warehouse_facts(spark, SF_DIR).count() == 80
     raw = [p for p in paths if "/raw-" in p]
     assert len(raw) == len(standins.FACTS) and not any(os.path.exists(p) for p in raw)
+
+
+def test_raw_files_of_the_build_go_once_published(spark, monkeypatch):
+    """At no time more raw inputs than tables are read at once, none while the dimension is made."""
+    paths, seen, path, replace = [], {}, checked.scratch_path, checked.Warehouse.replace
+
+    def raw_files():
+        (raw,) = [p for p in paths if "/raw-" in p]
+        return {file.parent for kind in ("part-*", "*.shp") for file in pathlib.Path(raw).rglob(kind)}
+
+    def spied(self, name, df, partition_by=None):
+        seen[name] = {p.name for p in raw_files()}
+        return replace(self, name, df, partition_by)
+
+    monkeypatch.setattr(checked, "scratch_path", lambda *given: paths.append(path(*given)) or paths[-1])
+    monkeypatch.setattr(checked.Warehouse, "replace", spied)
+    assert checked.q_warehouse_build(spark, SF_DIR).count() == 1500
+    assert all(1 <= len(inputs) <= 4 for name, inputs in seen.items() if name != "dim_parcels")
+    assert seen["stg_gis"] == {"parcel"} and seen["dim_parcels"] == set() == raw_files()
+
+
+def test_raw_files_go_when_their_table_fails(spark, monkeypatch):
+    paths, path = [], checked.scratch_path
+    monkeypatch.setattr(checked, "scratch_path", lambda *given: paths.append(path(*given)) or paths[-1])
+
+    def refused(self, name, df, partition_by=None):
+        raise OSError("no room")
+
+    monkeypatch.setattr(checked.Warehouse, "replace", refused)
+    with pytest.raises(OSError, match="no room"):
+        checked.q_warehouse_build(spark, SF_DIR)
+    assert not [p for raw in paths if "/raw-" in raw for p in pathlib.Path(raw).rglob("*") if p.is_file()]
