@@ -2,6 +2,8 @@
 
 import os
 import pathlib
+import threading
+import time
 from datetime import datetime
 from decimal import Decimal
 
@@ -20,7 +22,7 @@ from cadastra.plans.build import (
 from cadastra.plans.parcels import DIM_COLUMNS, StudyRules, build_dim_parcels, parcel_base
 from cadastra.plans.warehouse import Warehouse, decode_table
 from cadastra.shared import scratch_path, scratch_scope, shared_dir, stage
-from cadastra.sources.contracts import STAGING
+from cadastra.sources.contracts import STAGING, StagingSpec
 from cadastra.sources.delimited import project_typed, scan_delimited
 from tests.conftest import rows
 
@@ -332,6 +334,8 @@ def test_raw_files_of_the_build_go_once_published(spark, monkeypatch):
     monkeypatch.setattr(checked.Warehouse, "replace", spied)
     assert checked.q_warehouse_build(spark, SF_DIR).count() == 1500
     assert all(1 <= len(inputs) <= 4 for name, inputs in seen.items() if name != "dim_parcels")
+    large = {spec.file.replace("*", "roll") for spec in STAGING.values()}
+    assert all(len(inputs & large) <= 2 for inputs in seen.values())
     assert seen["stg_gis"] == {"parcel"} and seen["dim_parcels"] == set() == raw_files()
 
 
@@ -346,3 +350,45 @@ def test_raw_files_go_when_their_table_fails(spark, monkeypatch):
     with pytest.raises(OSError, match="no room"):
         checked.q_warehouse_build(spark, SF_DIR)
     assert not [p for raw in paths if "/raw-" in raw for p in pathlib.Path(raw).rglob("*") if p.is_file()]
+
+
+def test_two_facts_are_made_at_a_time(spark, monkeypatch):
+    """One alone leaves cores idle while its last tasks end."""
+    running, most, lock = [], [], threading.Lock()
+
+    def spied(self, name, df, partition_by=None):
+        with lock:
+            running.append(name)
+            most.append(len(running))
+        time.sleep(0.5)
+        try:
+            return publish(self, name, df, partition_by)
+        finally:
+            running.remove(name)
+
+    publish = Warehouse.publish
+    monkeypatch.setattr(Warehouse, "publish", spied)
+    assert checked.q_warehouse_facts(spark, SF_DIR).count() == 80
+    assert len(most) == 6 and max(most) == 2
+
+
+def test_a_fact_is_profiled_by_its_values(spark):
+    """No decimal is made to round a number, and no date is told before the ends are known; the rows stay the same."""
+    numbers = [0.0, -0.0, 0.005, -0.005, 1.005, 2.675, -2.675, 0.0049999999999999994, 45035996273704.965, 123456.785, -1e15, None]
+    held = spark.createDataFrame(
+        [(f"p{at}", at, number, Decimal(at).scaleb(-2), datetime(2024, 1, 1 + at)) for at, number in enumerate(numbers)]
+        + [(None, None, None, None, None)], "parcel_id string, n int, x double, d decimal(12,2), t timestamp_ntz")
+    spec = StagingSpec("stg_made", "made.txt", tuple(
+        (name, name, "timestamp_ntz" if name == "t" else kind) for name, kind in held.dtypes))
+    made = checked._fact_profile(held, "fact_made", spec)
+    texts = F.concat_ws(
+        "|", "parcel_id", *[F.round(F.col(c).cast("double") * 100).cast("long").cast("string") for c in "nxd"],
+        F.date_format("t", "yyyy-MM-dd"))
+    digest = held.agg(F.sum(F.conv(F.substring(F.md5(texts), 1, 8), 16, 10).cast("long"))).first()[0]
+    assert rows(made) == sorted([
+        ("fact_made", "parcel_id", 12, None, None, "p0", "p9"), ("fact_made", "n", 12, 0.0, 11.0, None, None),
+        ("fact_made", "x", 11, -1e15, 45035996273704.965, None, None), ("fact_made", "d", 12, 0.0, 0.11, None, None),
+        ("fact_made", "t", 12, None, None, "2024-01-01", "2024-01-12"),
+        ("fact_made", "whole rows", 13, None, None, str(digest), None)], key=str)
+    shown = plan(made)
+    assert "round(" not in shown and "partial_min(date_format" not in shown
